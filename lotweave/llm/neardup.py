@@ -72,7 +72,7 @@ def signatures(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", tex
     """(doc_id, n_shingles, print, bands, bytes) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shingles.WordHashes()
+        words = shingles.WORDS
         a, b = shingles.coefficients(plan.hashes, plan.seed)
         edges = [(i * plan.rows, (i + 1) * plan.rows) for i in range(plan.bands)]
         for batch in batches:
@@ -135,7 +135,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, plan: Plan, id_col: str, text_col:
     wanted = _of(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), _ends(pairs))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shingles.WordHashes()
+        words = shingles.WORDS
         for batch in batches:
             out = [shingles.shingle_set(t.as_py(), plan.width, words).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "s"])

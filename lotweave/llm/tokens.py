@@ -54,6 +54,33 @@ class PreTokens:
         return [first, *(" " + x for x in more)]
 
 
+class Chunks(dict):
+    """(pieces of the pre-tokens in the head, the other pre-tokens) of a chunk."""
+
+    def __init__(self, pieces_of: dict[str, int], split: PreTokens):
+        super().__init__()
+        self.pieces_of, self.split = pieces_of, split
+
+    def __missing__(self, chunk: str) -> tuple[int, list[str]]:
+        tokens = self.split.find(chunk)
+        out = sum(self.pieces_of.get(t, 0) for t in tokens), [t for t in tokens if t not in self.pieces_of]
+        if len(self) < FLUSH and len(chunk) <= 32:
+            self[chunk] = out
+        return out
+
+
+#: The chunks of the broadcast table last used; Python workers are used again for later tasks.
+_LAST: dict = {}
+
+
+def _chunks(known, split: PreTokens) -> Chunks:
+    head = known.value
+    if _LAST.get("head") is not head:
+        _LAST.clear()
+        _LAST.update(head=head, chunks=Chunks(dict(zip(*head, strict=True)), split))
+    return _LAST["chunks"]
+
+
 def special_strings(tokenizer) -> list[str]:
     return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
@@ -126,20 +153,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD, id_col:
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = PreTokens(special_strings(_load(tokenizer_path)))
-        pieces_of = dict(zip(*known.value, strict=True))
         row = TaskContext.get().partitionId() << 33
 
-        class Chunks(dict):
-            """(pieces of the pre-tokens in the head, the other pre-tokens) of a chunk."""
-
-            def __missing__(self, chunk: str):
-                tokens = split.find(chunk)
-                out = sum(pieces_of.get(t, 0) for t in tokens), [t for t in tokens if t not in pieces_of]
-                if len(self) < FLUSH and len(chunk) <= 32:
-                    self[chunk] = out
-                return out
-
-        chunks = Chunks()
+        chunks = _chunks(known, split)
         for batch in batches:
             rows, n_bytes, sums, rare, times = [], [], [], [], []
             for value in batch.column(1):
