@@ -35,7 +35,7 @@ class IdsOfChunk(dict):
     The vocabulary's pre-tokens never hold white space, so the ids of a text are those of its chunks in order.
     """
 
-    def __init__(self, tokenizer, limit: int = 500_000, longest: int = 48):
+    def __init__(self, tokenizer, limit: int = 1_000_000, longest: int = 48):
         super().__init__()
         self.tokenizer, self.limit, self.longest = tokenizer, limit, longest
 
@@ -47,6 +47,19 @@ class IdsOfChunk(dict):
         return out
 
 
+#: By tokenizer file; Python workers are used again for later tasks, which so find the chunks of earlier ones.
+_KNOWN: dict[str, IdsOfChunk] = {}
+
+
+def ids_of_chunk(tokenizer_path: str) -> IdsOfChunk:
+    if tokenizer_path not in _KNOWN:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _KNOWN[tokenizer_path] = IdsOfChunk(Tokenizer.from_file(tokenizer_path))
+    return _KNOWN[tokenizer_path]
+
+
 def remainder_cuts(length: int, capacity: int, waste: float) -> list[tuple[int, int]]:
     """(length, class) of the pieces that a remainder of fewer than ``capacity`` ids is cut into."""
     out = []
@@ -134,10 +147,7 @@ def pack_harmonic(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        ids_of = IdsOfChunk(Tokenizer.from_file(tokenizer_path))
+        ids_of = ids_of_chunk(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId(), capacity, waste)
         for batch in batches:
