@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from . import shared
 
+#: Buckets of the digests that are hit; so many rows of one long are broadcast at most.
+SIEVE = 2**20
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -76,18 +78,21 @@ def dedup_exact(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     ``digest_of`` maps the text column's name to a digest; a weak one only makes more rows go through the comparison of bytes.
     """
     state = keyed_state(spark, path, id_col, text_col, digest_of, files_per_batch)
-    shared_state = shared.staged(state.filter("n > 1").select("digest", F.col("at").alias("keep"), "n"), "exact-hits")
+    hits = shared.staged(state.filter("n > 1").select("digest", F.col("at").alias("keep"), "n"), "exact-hits")
     rows = spark.read.parquet(path).select(*_row(id_col, text_col, digest_of), F.col(text_col).alias("text"))
 
-    hits = rows.join(shared_state, "digest", "left")
-    single = F.col("n").isNull()
-    slim = hits.select("id", "at", "digest", "keep", "n")
-    out = shared.staged(slim.withColumn("keep", F.when(single, F.col("at")).otherwise(F.col("keep"))).withColumn("n", F.coalesce("n", F.lit(1).cast("long"))), "exact-rows")
-
-    # Full bytes of every hit against the row its digest retains.
-    keepers = shared_state.select("digest", "keep")
-    first = rows.join(keepers, (rows.digest == keepers.digest) & (rows.at == keepers.keep)).select(rows.digest.alias("d"), normal("text").alias("kept_text"))
-    others = rows.join(keepers, "digest").filter(F.col("at") != F.col("keep")).select("digest", "at", normal("text").alias("text"))
+    known = rows.select("id", "at", "digest").join(hits, "digest", "left")
+    out = known.withColumn("keep", F.coalesce("keep", "at")).withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+    out = shared.staged(out, "exact-rows")
+
+    # Full bytes of every hit against the row its digest retains. Texts of rows without a hit are left out in the scan, by a
+    # broadcast of the hits' buckets, of which there are SIEVE at most.
+    sieve = F.pmod(F.xxhash64("digest"), F.lit(SIEVE))
+    texts = rows.select("at", "digest", normal("text").alias("text"), sieve.alias("s"))
+    texts = texts.join(F.broadcast(hits.select(sieve.alias("s")).distinct()), "s", "left_semi").drop("s")
+    texts = shared.staged(texts, "exact-texts").join(hits.select("digest", "keep"), "digest")
+    first = texts.filter(F.col("at") == F.col("keep")).select(F.col("digest").alias("d"), F.col("text").alias("kept_text"))
+    others = texts.filter(F.col("at") != F.col("keep")).select("digest", "at", "text")
     differ = shared.staged(others.join(first, F.col("digest") == F.col("d")).filter(F.col("text") != F.col("kept_text")).select("digest", "at", "text"), "exact-collisions")
     if differ.isEmpty():
         return _result(out)
