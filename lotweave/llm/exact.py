@@ -24,6 +24,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    # Else each state partition allocates several MB of log and manifest in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
