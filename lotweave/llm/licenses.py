@@ -44,6 +44,8 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved. Unauthorized copying of this file is strictly prohibited."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: English function words, which are anchors last.
+COMMON = "a all and any are as be by for from in into is may not of on or that the this to under with work you".split()
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 MAX_BROADCAST_DIRS = 200_000
@@ -69,7 +71,7 @@ class Space:
         self.anchors: set[str] = set()
         for v in self.vectors:
             rest = 1.0 - sum(v[t] ** 2 for t in self.anchors & v.keys())
-            for t in sorted(v.keys() - self.anchors, key=lambda t: (-self.idf[t], t)):
+            for t in sorted(v.keys() - self.anchors, key=lambda t: (t in COMMON, -self.idf[t], t)):
                 if rest < least**2 - 1e-9:
                     break
                 self.anchors.add(t)
