@@ -26,8 +26,8 @@ from . import shared
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens in the broadcast head at most, and bytes of the longest one there: together they bound its size.
 HEAD, HEAD_BYTES = 300_000, 32
-#: Distinct pre-tokens that a worker holds before it passes their frequencies on.
-FLUSH = 400_000
+#: Distinct chunks that a worker holds before it passes their pre-tokens' frequencies on, or remembers.
+FLUSH = 250_000
 
 
 class PreTokens:
@@ -61,9 +61,9 @@ class Chunks(dict):
         super().__init__()
         self.pieces_of, self.split = pieces_of, split
 
-    def __missing__(self, chunk: str) -> tuple[int, list[str]]:
+    def __missing__(self, chunk: str) -> tuple[int, tuple[str, ...]]:
         tokens = self.split.find(chunk)
-        out = sum(self.pieces_of.get(t, 0) for t in tokens), [t for t in tokens if t not in self.pieces_of]
+        out = sum(self.pieces_of.get(t, 0) for t in tokens), tuple(t for t in tokens if t not in self.pieces_of)
         if len(self) < FLUSH and len(chunk) <= 32:
             self[chunk] = out
         return out
