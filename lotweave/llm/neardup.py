@@ -239,6 +239,7 @@ def _blocks(left: DataFrame, sigs: DataFrame, plan: Plan) -> DataFrame:
 
 def near_groups(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    shared.small_batches(docs.sparkSession)
     all_sigs = shared.staged(signatures(docs, plan, id_col, text_col), "near-signatures")
     classes = all_sigs.filter("print IS NOT NULL AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("rep"))
     classes = shared.staged(classes, "near-classes")

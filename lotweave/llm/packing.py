@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 WIDTH = 4  # bytes of an id
 #: Sequence ids of a worker start at its number shifted by so many bits.
@@ -35,7 +37,7 @@ class IdsOfChunk(dict):
     The vocabulary's pre-tokens never hold white space, so the ids of a text are those of its chunks in order.
     """
 
-    def __init__(self, tokenizer, limit: int = 1_000_000, longest: int = 48):
+    def __init__(self, tokenizer, limit: int = 500_000, longest: int = 48):
         super().__init__()
         self.tokenizer, self.limit, self.longest = tokenizer, limit, longest
 
@@ -145,6 +147,7 @@ def pack_harmonic(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
     Columns: doc_id, start (the document's ids before the piece), length, ids_crc32 (of the ids as little-endian unsigned 32-bit
     integers), doc_tokens, sequence_id, offset. ``tokenizer_path`` must exist on every worker.
     """
+    shared.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = ids_of_chunk(tokenizer_path)

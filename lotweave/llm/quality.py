@@ -118,6 +118,7 @@ def _sums(rows: DataFrame, make, width: int) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, n_features: int = 192, gamma: float = 0.02, ridge: float = 1e-4, max_labelled: int = 20_000, bins: int = 2048, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """Fit on the labelled rows for which ``usable`` (a condition on ``id_col``) holds; None without labels."""
+    shared.small_batches(docs.sparkSession)
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.filter(usable) if usable is not None else known
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.avg(F.col(label_col).cast("double")).alias("__y"))

@@ -37,6 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _local
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lower the session's rows per Arrow batch: whole texts are handed to Python, and a batch is held on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/lotweave/{name}-{uuid.uuid4().hex}"
     _made.append(path)

@@ -13,7 +13,7 @@ _SHIFT = np.uint64(33)
 class WordHashes(dict):
     """Remembers the 64-bit hash of up to ``limit`` words; further words are hashed each time."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 
