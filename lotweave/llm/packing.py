@@ -29,6 +29,7 @@ WIDTH = 4  # bytes of an id
 #: Sequence ids of a worker start at its number shifted by so many bits.
 WORKER_SHIFT = 40
 BATCH_ROWS = 20_000
+STOPS = (b".", b",", b";", b":", b"!", b"?")
 
 
 class IdsOfChunk(dict):
@@ -42,9 +43,14 @@ class IdsOfChunk(dict):
         self.tokenizer, self.limit, self.longest = tokenizer, limit, longest
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = np.asarray(ids, "<u4").tobytes()
-        if len(self) < self.limit and len(chunk) <= self.longest:
+        core, limit = (chunk[:-1] if chunk[-1:] in STOPS else chunk), self.limit
+        if core.isalpha() and (core is not chunk or not chunk.islower()):
+            # ASCII letters, perhaps one stop: the vocabulary has lower case only, and a stop is a pre-token of its own.
+            out = self[core.lower()] + (self[chunk[-1:]] if core is not chunk else b"")
+            limit //= 2
+        else:
+            out = np.asarray(self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) < limit and len(chunk) <= self.longest:
             self[chunk] = out
         return out
 
