@@ -12,7 +12,7 @@ from ..operators import canonical, joins, reconcile
 from ..streaming import incremental
 from .registry import query, table
 
-CUT = "2024-01-15"
+CUT = "2024-01-02"
 
 
 def _observations(spark: SparkSession, d: str) -> DataFrame:
