@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered
+
 
 def audit(rows: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """Rows, and how many meet each condition, in one pass."""
@@ -33,27 +35,24 @@ def activity_tiers(rows: DataFrame, item: str, variant: str, floors: Sequence[tu
     return top.withColumn("tier", tier)
 
 
-def streaks(events: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column) -> DataFrame:
-    """Every event with the length of the run of failures that ends there (0 after a success)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    bad = F.when(failed, 1).otherwise(0)
-    out = events.withColumn("__bad", bad).withColumn("__island", F.sum(1 - F.col("__bad")).over(w))
-    run = F.sum("__bad").over(Window.partitionBy(*by, "__island").orderBy(*order))
-    return out.withColumn("streak", run).drop("__bad", "__island")
+def streaks(events: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, segment: Column | None = None) -> DataFrame:
+    """Every event with the length of the run of failures that ends there (0 after a success). ``segment``: see :mod:`.ordered`."""
+    bad = F.coalesce(failed, F.lit(False))
+    out = ordered.running(events, by, order, {"__bad": bad.cast("long")}, segment)
+    out = ordered.last_known(out, by, order, F.when(~bad, F.col("__bad")), "__at_success", segment)
+    return out.withColumn("streak", F.col("__bad") - F.coalesce("__at_success", F.lit(0))).drop("__bad", "__at_success")
 
 
-def rolling_failures(events: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, size: int = 300, most: int = 120) -> DataFrame:
+def rolling_failures(events: DataFrame, by: Sequence[str], order: Sequence[str], failed: Column, size: int = 300, most: int = 120, segment: Column | None = None) -> DataFrame:
     """Failures among the last ``size`` events; ``stop`` only once there are so many events and more than ``most`` failed."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(size - 1), 0)
-    bad = F.sum(F.when(failed, 1).otherwise(0)).over(w)
-    return events.withColumn("recent_failures", bad).withColumn("stop", (F.count(F.lit(1)).over(w) >= size) & (bad > most))
+    out = ordered.rolling_sum(events, by, order, F.coalesce(failed, F.lit(False)).cast("long"), size, "recent_failures", segment)
+    return out.withColumn("stop", (F.col("recent_failures_rows") >= size) & (F.col("recent_failures") > most)).drop("recent_failures_rows")
 
 
-def latch(samples: DataFrame, by: Sequence[str], order: Sequence[str], level: Column, on: float, off: float) -> DataFrame:
+def latch(samples: DataFrame, by: Sequence[str], order: Sequence[str], level: Column, on: float, off: float, segment: Column | None = None) -> DataFrame:
     """Hysteresis: on from ``on`` up, off from ``off`` down, between them as before (off at the start)."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    turned = F.when(level >= on, True).when(level <= off, False)
-    return samples.withColumn("latched", F.coalesce(F.last(turned, ignorenulls=True).over(w), F.lit(False)))
+    out = ordered.last_known(samples, by, order, F.when(level >= on, True).when(level <= off, False), "latched", segment)
+    return out.withColumn("latched", F.coalesce("latched", F.lit(False)))
 
 
 def shrink_guard(before: DataFrame, after: DataFrame, by: str, floor: int, share: float = 0.1) -> DataFrame:
@@ -86,10 +85,9 @@ def verdict(checks: DataFrame, severity: str = "severity", reason: str = "reason
     return checks.agg(F.max(severity).alias("worst"), F.sort_array(F.collect_list(F.when(F.col(severity) > 0, F.col(reason)))).alias("reasons"))
 
 
-def carry_forward(lines: DataFrame, order: str, stamped: Column, by: Sequence[str] = ()) -> DataFrame:
+def carry_forward(lines: DataFrame, order: str, stamped: Column, by: Sequence[str] = (), segment: Column | None = None) -> DataFrame:
     """The last stamp seen up to each line."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("stamp", F.last(stamped, ignorenulls=True).over(w))
+    return ordered.last_known(lines, by, [order], stamped, "stamp", segment)
 
 
 def majority(rows: DataFrame, subject: str, label: str) -> DataFrame:

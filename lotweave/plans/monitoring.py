@@ -10,6 +10,8 @@ from ..operators import joins, linking, monitor, sharding
 from .registry import query, table
 
 AS_OF = "2001-08-05"
+#: Events of one key are cut into days, so that a busy key isn't one task.
+DAY = "to_date(ts)"
 
 
 @query("""
@@ -98,7 +100,7 @@ WITH e AS (SELECT *, (event_type = 'error')::INTEGER AS bad, sum((event_type <>
 SELECT event_id, user_id, sum(bad) OVER (PARTITION BY user_id, island ORDER BY ts, event_id)::BIGINT AS streak FROM e
 """)
 def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
-    return monitor.streaks(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error").select("event_id", "user_id", "streak")
+    return monitor.streaks(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", F.expr(DAY)).select("event_id", "user_id", "streak")
 
 
 @query("""
@@ -106,7 +108,7 @@ SELECT event_id, event_type, sum((value > 50)::INTEGER) OVER w::BIGINT AS recent
 WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 299 PRECEDING AND CURRENT ROW)
 """)
 def rolling_failure_ratio(spark: SparkSession, d: str) -> DataFrame:
-    out = monitor.rolling_failures(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], F.coalesce(F.col("value") > 50, F.lit(False)))
+    out = monitor.rolling_failures(table(spark, d, "events"), ["event_type"], ["ts", "event_id"], F.col("value") > 50, segment=F.expr(DAY))
     return out.select("event_id", "event_type", "recent_failures", "stop")
 
 
@@ -115,7 +117,7 @@ WITH t AS (SELECT event_id, user_id, ts, CASE WHEN value >= 70 THEN true WHEN va
 SELECT event_id, coalesce(last_value(turned IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) AS latched FROM t
 """)
 def hysteresis_latch(spark: SparkSession, d: str) -> DataFrame:
-    return monitor.latch(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value"), 70, 30).select("event_id", "latched")
+    return monitor.latch(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value"), 70, 30, F.expr(DAY)).select("event_id", "latched")
 
 
 @query("""
