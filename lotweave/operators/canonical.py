@@ -118,3 +118,20 @@ def insert_ignoring(batch: DataFrame, table: DataFrame, unique: Sequence[Sequenc
             clash = clash & F.col(k).isNotNull()
         out = out.withColumn("__rn", F.row_number().over(w)).filter(~clash | (F.col("__rn") == 1)).drop("__rn")
     return out
+
+
+def insert_counts(batch: DataFrame, table: DataFrame, keys: Sequence[str], valid: Column) -> DataFrame:
+    """One row (n_new, n_existing, n_bad) of what an insert would do: rows that aren't valid are bad, repeats of a key in the batch exist already."""
+    per_key = batch.groupBy(F.coalesce(valid, F.lit(False)).alias("__v"), *keys).agg(F.count(F.lit(1)).alias("__n"))
+    known = table.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct().withColumn("__known", F.lit(True))
+    both = per_key.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("__n"))), F.lit(0))
+    fresh = F.count_if(F.col("__v") & F.col("__known").isNull())
+    return both.agg(fresh.alias("n_new"), (total(F.col("__v")) - fresh).alias("n_existing"), total(~F.col("__v")).alias("n_bad"))
+
+
+def without_seen(rows: DataFrame, row_key: str, keys: Column, seen: DataFrame) -> DataFrame:
+    """``rows`` none of whose keys (an array) is in ``seen`` (key)."""
+    each = rows.select(F.col(row_key).alias("__r"), F.explode(keys).alias("__k"))
+    hit = each.join(seen.select(F.col("key").alias("__s")), F.col("__k") == F.col("__s"), "left_semi").select("__r").distinct()
+    return rows.join(hit, F.col(row_key) == F.col("__r"), "left_anti")

@@ -101,3 +101,15 @@ def majority(rows: DataFrame, subject: str, label: str) -> DataFrame:
 
 def confidence(share: Column, total: Column, explicit: Column) -> Column:
     return F.when(explicit.isNotNull(), "HIGH").when((share >= 0.8) & (total >= 20), "MEDIUM").when((share >= 0.5) & (total >= 5), "LOW").otherwise("NONE")
+
+
+def paired(lines: DataFrame, by: Sequence[str], order: str, opens: Column, closes: Column, segment: Column | None = None) -> DataFrame:
+    """(keys, opened, closed): each closing line's ``order`` with that of the latest opening line since the closing one before.
+
+    Closing lines without such an opening one go. Lines are numbered by the closings before them, so the pairs are groups, not a window over a key.
+    """
+    marked = lines.select(*by, order, opens.alias("__o"), closes.alias("__c"), (F.lit(0) if segment is None else segment).alias("__s")).filter("__o OR __c")
+    run = ordered.running(marked, by, [order], {"__upto": F.col("__c").cast("int")}, None if segment is None else F.col("__s"))
+    turn = run.withColumn("__turn", F.col("__upto") - F.col("__c").cast("int"))
+    pairs = turn.groupBy(*by, "__turn").agg(F.max(F.when(F.col("__o") & ~F.col("__c"), F.col(order))).alias("opened"), F.max(F.when(F.col("__c"), F.col(order))).alias("closed"))
+    return pairs.filter("opened IS NOT NULL AND closed IS NOT NULL").drop("__turn")

@@ -15,10 +15,20 @@ def bisect_shards(rows: DataFrame, value: str, cap: int, low: int, high: int) ->
     levels = max(0, (high - low - 1).bit_length())
     units = rows.filter((F.col(value) >= low) & (F.col(value) < high)).groupBy((F.floor(value) - low).cast("long").alias("u")).agg(F.count(F.lit(1)).alias("n"))
     node = units.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    width = F.expr(f"shiftleft(1L, {levels} - level)")
-    nodes = node.groupBy("level", F.floor(F.col("u") / width).alias("i")).agg(F.sum("n").alias("n"))
+    nodes = node.groupBy("level", F.expr(f"shiftright(u, {levels} - level)").alias("i")).agg(F.sum("n").alias("n"))
     up = nodes.select((F.col("level") + 1).alias("l2"), F.col("i").alias("i2"), F.col("n").alias("above"))
-    tree = nodes.join(up, (F.col("level") == F.col("l2")) & (F.floor(F.col("i") / 2) == F.col("i2")), "left")
+    tree = nodes.join(up, (F.col("level") == F.col("l2")) & (F.expr("shiftright(i, 1)") == F.col("i2")), "left")
     shard = tree.filter(((F.col("n") <= cap) | (F.col("level") == levels)) & (F.col("above").isNull() | (F.col("above") > cap)))
-    lo = (F.col("i") * width + low).cast("long")
-    return shard.select(lo.alias("lo"), (lo + width).cast("long").alias("hi"), "n", (F.col("n") > cap).alias("open"))
+    edge = lambda i: F.expr(f"shiftleft({i}, {levels} - level) + {low}L")
+    return shard.select(edge("i").alias("lo"), edge("(i + 1)").alias("hi"), "n", (F.col("n") > cap).alias("open"))
+
+
+def split_dense(rows: DataFrame, shards: DataFrame, value: str, by: str, cap: int) -> DataFrame:
+    """(lo, hi, by, n, passes, residual): unit ranges above the cap split by a category, null being one.
+
+    Each part is read from one end, and from the other end too (``passes`` 2) if it is above the cap; ``residual`` rows in the middle are out of reach.
+    """
+    dense = shards.filter("open").select("lo", "hi")
+    counts = rows.groupBy(F.floor(value).cast("long").alias("__u"), by).agg(F.count(F.lit(1)).alias("n"))
+    parts = counts.join(dense, F.col("__u") == F.col("lo"))
+    return parts.select("lo", "hi", by, "n", F.when(F.col("n") > cap, 2).otherwise(1).alias("passes"), F.greatest(F.lit(0), F.col("n") - 2 * cap).alias("residual"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,3 +80,58 @@ def lots(pages: DataFrame, html: str = "html") -> DataFrame:
 def file_facts(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and change time of files, without reading them."""
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+
+
+def read_table(spark: SparkSession, url: str, table: str, key: str | None = None, parts: int = 8, fetch: int = 10_000, **options: str) -> DataFrame:
+    """A database table over JDBC; with a numeric ``key`` (spelled as the database does), ``parts`` ranges between its ends are read side by side (null keys are in the first).
+
+    Filters and chosen columns reach the database. A partitioned read is the counterpart of paging by key: no page depends on the one before.
+    """
+    base = spark.read.format("jdbc").options(url=url, fetchsize=str(fetch), **options)
+    if key is None:
+        return base.option("dbtable", table).load()
+    low, high = base.option("query", f"SELECT min({key}) AS lo, max({key}) AS hi FROM {table}").load().first()
+    base = spark.read.format("jdbc").options(url=url, fetchsize=str(fetch), dbtable=table, **options)
+    if low is None:
+        return base.load()
+    return base.options(partitionColumn=key, lowerBound=str(low), upperBound=str(high + 1), numPartitions=str(parts)).load()
+
+
+def payload_records(rows: DataFrame, text: str, path: Sequence[str], record: str) -> DataFrame:
+    """One row per record of the array at ``path`` in a JSON text, with the fields of ``record`` (a schema) after the other columns.
+
+    Texts that aren't JSON, or lack the path, give no rows. Record fields must not bear names of other columns.
+    """
+    schema = f"array<struct<{record}>>"
+    for name in reversed(path):
+        schema = f"struct<`{name}`:{schema}>"
+    found = F.from_json(text, schema)
+    for name in path:
+        found = found[name]
+    kept = [c for c in rows.columns if c != text]
+    return rows.select(*kept, F.explode(found).alias("__r")).select(*kept, "__r.*")
+
+
+def urls_in(rows: DataFrame, text: str) -> DataFrame:
+    """Every http(s) address in a text, in order: the other columns, pos, url."""
+    kept = [c for c in rows.columns if c != text]
+    return rows.select(*kept, F.posexplode(F.regexp_extract_all(text, F.lit("https?://[^\\s,\"'<>]+"), F.lit(0))).alias("pos", "url"))
+
+
+def read_newest_good(spark: SparkSession, base: str, good: Callable[[DataFrame], bool] = lambda df: True) -> tuple[DataFrame, str]:
+    """(table, version) of the newest complete version that can be read and passes ``good``; see :func:`writers.publish_version`.
+
+    A version that is half-written, unreadable or refused is passed over, so the last good one stays in force.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted((f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()), reverse=True) if fs.exists(root) else []
+    for name in names:
+        if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}/_SUCCESS")):
+            try:
+                df = spark.read.parquet(f"{base}/{name}")
+                if good(df):
+                    return df, name
+            except (PySparkException, Py4JJavaError):
+                continue
+    raise ValueError(f"{base}: no good version")

@@ -36,3 +36,21 @@ def nested_chunks(cards: DataFrame, sales: DataFrame, key: str, per_chunk: int =
     n = max(1, -(-cards.count() // per_chunk))
     whole = cards.join(nested, key, "left").withColumn("chunk", F.pmod(F.xxhash64(key), F.lit(n)))
     return whole.select("chunk", F.to_json(F.struct(*[c for c in whole.columns if c != "chunk"])).alias("json"))
+
+
+def append_run(df: DataFrame, path: str, run: str) -> None:
+    """Add one run's rows under its own folder; the same run again replaces only itself."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/ingest_run_id={run}")
+
+
+def publish_version(df: DataFrame, base: str, version: int) -> str:
+    """Write a whole version beside the earlier ones; readers take the newest good one."""
+    path = f"{base}/v{version:010d}"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return path
+
+
+def write_dated_report(df: DataFrame, base: str, day: str) -> None:
+    """A small aggregate under its day, and again as ``latest``."""
+    for name in (day, "latest"):
+        write_report(df, f"{base}/{name}")
