@@ -45,30 +45,32 @@ def same_sale(title_a: Column, title_b: Column, players_a: Column, players_b: Co
     return F.when(known, F.arrays_overlap(players_a, players_b)).otherwise(scalars.jaccard(scalars.tokens(title_a), scalars.tokens(title_b)) >= least)
 
 
-def greedy_groups(rows: DataFrame, pairs: DataFrame, key: str, block: str, order: Sequence[str]) -> DataFrame:
-    """Rows in ``order`` join the first group whose first row they match; else they open one. Order matters, so each block runs on one worker.
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` without its lineage, in ``spark.checkpoint.dir``; a local-mode session without that setting keeps it itself."""
+    spark = df.sparkSession
+    alone = spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None)
+    return df.localCheckpoint() if alone else df.checkpoint()
 
-    ``block`` must separate rows that can never match (a month, a bucket); pairs (a, b) give the matches.
+
+def greedy_groups(rows: DataFrame, pairs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """(key, group_head): rows in ``order`` join the first group whose first row they match; else they open one. Pairs (a, b) give the matches.
+
+    Each round settles all rows at once whose earlier partners are settled: a row without earlier partners opens a group, which takes its
+    later partners out. Nothing but the pairs says who can meet, so no row has to be on one worker with another. Rounds are as many
+    as the longest chain of partners that wait for each other, which stays short unless ``order`` follows the values compared.
     """
-    import pandas as pd
-
-    linked = pairs.union(pairs.select("b", "a")).toDF("__k", "__m").groupBy("__k").agg(F.collect_set("__m").alias("__ms"))
-    whole = rows.join(linked, F.col(key) == F.col("__k"), "left").select(F.col(key).alias("k"), F.col(block).alias("block"), *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col("__ms").alias("ms"))
-    kind = dict(rows.dtypes)[key]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([c for c in pdf.columns if c.startswith("o")] + ["k"])
-        heads: list = []
-        out = []
-        for k, ms in zip(pdf["k"], pdf["ms"], strict=True):
-            found = next((h for h in heads if ms is not None and h in set(ms)), None)
-            if found is None:
-                heads.append(k)
-                found = k
-            out.append(found)
-        return pd.DataFrame({"k": pdf["k"], "head": out})
-
-    return whole.groupBy("block").applyInPandas(run, f"k {kind}, head {kind}").toDF(key, "group_head")
+    at = rows.select(F.col(key).alias("k"), F.struct(*order, key).alias("o"))
+    both = pairs.select("a", "b").filter("a <> b").join(at.toDF("a", "ao"), "a").join(at.toDF("b", "bo"), "b")
+    swap = F.col("ao") < F.col("bo")
+    edges = _cut(both.select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("b"), F.least("ao", "bo").alias("ao")).distinct())
+    left, taken = edges, edges.select("b").limit(0)
+    while not left.isEmpty():
+        heads = left.select("a").distinct().join(left.select(F.col("b").alias("a")), "a", "left_anti")
+        gone = _cut(left.join(heads, "a", "left_semi").select("b").distinct())
+        taken = taken.union(gone)
+        left = _cut(left.join(gone, "b", "left_anti").join(gone.toDF("a"), "a", "left_anti"))
+    first = edges.join(taken, "b", "left_semi").join(taken.toDF("a"), "a", "left_anti").groupBy("b").agg(F.min_by("a", "ao").alias("head"))
+    return rows.select(key).join(first, F.col(key) == F.col("b"), "left").select(key, F.coalesce("head", key).alias("group_head"))
 
 
 def resolve(rows: DataFrame, catalog: DataFrame, row_key: str, keys: Sequence[str], rank: Sequence[Column]) -> DataFrame:

@@ -56,7 +56,7 @@ def dominant_brand(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def same_sale_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Orders of one priority within a month that match by price and day, grouped in order of key."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", F.concat_ws("/", scalars.month_of(F.col("o_orderdate")), "o_orderpriority").alias("block"))
-    pairs = joins.near_pairs(o, "o_orderkey", "o_totalprice", "o_orderdate", 1.0, 3, ["o_orderpriority", "block"])
-    return joins.greedy_groups(o, pairs, "o_orderkey", "block", ["o_orderkey"])
+    """Orders of one priority that match by price and day, across months too, grouped in order of key."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    pairs = joins.near_pairs(o, "o_orderkey", "o_totalprice", "o_orderdate", 1.0, 3, ["o_orderpriority"])
+    return joins.greedy_groups(o, pairs, "o_orderkey", ["o_orderkey"])

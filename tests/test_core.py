@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -115,3 +116,21 @@ def test_tail_and_lists(spark, tmp_path):
     ok = tmp_path / "l.txt"
     ok.write_text("#magic\nsrc/a/b\nsrc/c\n# end count=2\n")
     assert sorted(map(tuple, readers.read_checked_list(spark, str(ok), "#magic").collect())) == [("src", "a/b"), ("src", "c")]
+
+
+def test_same_sale_across_month_end(spark, tmp_path):
+    from lotweave.plans import linking as plans
+
+    rng = random.Random(3)
+    day = dt.datetime(2026, 1, 20)
+    rows = [(1, 100.0, dt.datetime(2026, 1, 30), "x"), (2, 100.5, dt.datetime(2026, 2, 1), "x"), (3, 100.5, dt.datetime(2026, 2, 1), "y"), (4, 101.3, dt.datetime(2026, 2, 2), "x"), (5, 100.5, dt.datetime(2026, 2, 3), "x")]
+    rows += [(i, 500 * rng.uniform(1, 1.1), day + dt.timedelta(rng.randrange(25)), rng.choice("xy")) for i in range(10, 250)]
+    spark.createDataFrame(rows, "o_orderkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    heads, want = [], {}
+    for k, p, t, g in sorted(rows):
+        found = next((h for h, hp, ht, hg in heads if hg == g and abs(p - hp) <= 0.01 * max(p, hp) and abs((t - ht).days) <= 3), None)
+        if found is None:
+            heads.append((k, p, t, g))
+        want[k] = k if found is None else found
+    got = {r.o_orderkey: r.group_head for r in plans.same_sale_groups(spark, str(tmp_path)).collect()}
+    assert got == want and got[2] == 1 and got[3] == 3 and got[4] == 4 and got[5] == 4
