@@ -36,12 +36,12 @@ def link_titles(rows: DataFrame, catalog: DataFrame, names: str = "character", r
     """(row key, card_id, reason) by strict rules: a link only where exactly one card agrees, otherwise a reason.
 
     ``catalog`` has card_id, set_words (array), number, ``names``. Names match as whole folded word runs, the longest first; a name within
-    a longer match doesn't count. Names are looked up by an equi-join on word runs, so the catalog may be large.
+    a longer match doesn't count. Names are looked up by an equi-join on word runs of every length that a name has, so the catalog may be large.
     """
     t = rows.select(F.col(row_key).alias("rid"), scalars.name_key(F.col(title)).alias("t"), F.lower(F.col(title)).rlike(reject).alias("many"), parse_title(F.col(title))["number"].alias("num"))
     t = t.withColumn("words", F.filter(F.split("t", " "), lambda w: w != ""))
     cat = catalog.select("card_id", "set_words", scalars.number_key(F.col("number")).alias("cnum"), scalars.name_key(F.col(names)).alias("cname"))
-    sizes = [r[0] for r in cat.select(F.size(F.split("cname", " ")).alias("n")).distinct().orderBy("n").limit(8).collect()] or [1]
+    sizes = [r[0] for r in cat.select(F.size(F.split("cname", " ")).alias("n")).distinct().orderBy("n").collect()] or [1]
     runs = F.concat(*[scalars.windows(F.col("words"), n) for n in sizes])
     named = t.select("rid", F.explode(runs).alias("cname")).distinct().join(cat.select("cname").distinct(), "cname")
     longer = F.exists("__all", lambda o: (o != F.col("cname")) & F.concat(F.lit(" "), o, F.lit(" ")).contains(F.concat(F.lit(" "), F.col("cname"), F.lit(" "))))

@@ -134,3 +134,11 @@ def test_same_sale_across_month_end(spark, tmp_path):
         want[k] = k if found is None else found
     got = {r.o_orderkey: r.group_head for r in plans.same_sale_groups(spark, str(tmp_path)).collect()}
     assert got == want and got[2] == 1 and got[3] == 3 and got[4] == 4 and got[5] == 4
+
+
+def test_links_of_ten_name_lengths(spark):
+    names = [" ".join(f"n{n}w{k}" for k in range(n)) for n in range(1, 10)]
+    names.append(names[8] + " end")
+    cat = spark.createDataFrame([(f"c{i}", n, ["topps"], str(i)) for i, n in enumerate(names)], "card_id string, character string, set_words array<string>, number string")
+    rows = spark.createDataFrame([(i, f"topps {n} #{i}") for i, n in enumerate(names)], "row_id int, title string")
+    assert {r.row_id: (r.card_id, r.reason) for r in linking.link_titles(rows, cat).collect()} == {i: (f"c{i}", "ok") for i in range(10)}
