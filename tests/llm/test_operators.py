@@ -276,3 +276,24 @@ def test_remainder_cuts():
 
 def test_shared_dir_needs_setting(spark):
     assert "://" in shared.shared_dir(spark) or shared.shared_dir(spark).startswith("/")
+
+
+def test_license_lines_headers_and_texts(spark):
+    import textwrap
+
+    wrap = lambda text, mark: "\n".join(mark + x for x in textwrap.wrap(text, 60))
+    bsd = lambda *more: "\n\n".join([licenses.BSD_HEAD, licenses.BSD_TWO, *more, licenses.BSD_REST])
+    code = "\n".join(f"x{i} = call{i}(value{i}, other{i})" for i in range(40))
+    owner = "Copyright (c) 2020 Some Body. All rights reserved.\n\n"
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    cases = [
+        ("All rights reserved.", "Proprietary"), ("some words\nAll rights reserved.\nother words", "Proprietary"), ("// SPDX-License-Identifier: MIT\n" + code, "MIT"), ("# SPDX-License-Identifier: GPL-3.0-or-later\n" + code, "GPL-3.0"),
+        ("SPDX-License-Identifier: Zlib", None), ("SPDX-License-Identifier:", None), ("mit", None), ("er kommt\nmit\ndem Bus", None), (licenses.GNU.format("General Public License", 3), "GPL-3.0"), (licenses.GNU.format("Lesser General Public License", 3), "LGPL-3.0"),
+        (wrap(licenses.GNU.format("General Public License", 2), " * ") + "\n" + code, "GPL-2.0"), (code + "\n" + wrap(apache, "# ") + "\n" + code, "Apache-2.0"), ("GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n" + code, "GPL-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"), ("MIT License\n\n" + owner + wrap(licenses.MIT_GRANT, "") + "\n\n" + wrap(licenses.MIT_REST, ""), "MIT"),
+        (owner + wrap(bsd(), ""), "BSD-2-Clause"), (owner + wrap(bsd(licenses.BSD_THIRD), ""), "BSD-3-Clause"), (wrap(bsd(licenses.BSD_THIRD), "// ") + "\n" + code, "BSD-3-Clause"), (wrap(licenses.MIT_GRANT, "// ") + "\n" + code, "MIT"), (code, None),
+    ]
+    table = spark.createDataFrame([(i, f"d{i}/f.txt", t) for i, (t, _) in enumerate(cases)], "doc_id long, path string, text string")
+    out = {r.id: (r.stated, r.is_licence_file, round(r.score, 2)) for r in licenses.scan(table, F.col("path")).collect()}
+    assert {i: out[i][0] for i in out} == {i: name for i, (_, name) in enumerate(cases)}, out
+    assert all(out[i][1] for i in (14, 15, 16)) and not any(out[i][1] for i in (2, 10, 11, 17, 18))
