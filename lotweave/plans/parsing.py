@@ -103,6 +103,13 @@ def fold_heads(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", scalars.fold_latin(F.substring("text", 1, 40)).alias("folded"))
 
 
+@query(r"""
+SELECT doc_id, translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy') AS folded FROM documents
+""")
+def fold_texts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", scalars.fold_latin(F.col("text")).alias("folded"))
+
+
 @query(r"""
 WITH t AS (SELECT o_orderkey, (1950 + o_orderkey % 70) || ' Topps #' || (o_orderkey % 500) || ' PSA ' || (o_orderkey % 10 + 1) || ' ' || (o_orderkey % 90 + 1) || '/99' AS title FROM orders)
 SELECT o_orderkey, (1950 + o_orderkey % 70)::INTEGER AS year, (o_orderkey % 500)::VARCHAR AS number, (o_orderkey % 90 + 1)::INTEGER AS serial, 99 AS print_run, 'PSA ' || (o_orderkey % 10 + 1) AS grade FROM t

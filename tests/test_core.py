@@ -142,3 +142,10 @@ def test_links_of_ten_name_lengths(spark):
     cat = spark.createDataFrame([(f"c{i}", n, ["topps"], str(i)) for i, n in enumerate(names)], "card_id string, character string, set_words array<string>, number string")
     rows = spark.createDataFrame([(i, f"topps {n} #{i}") for i, n in enumerate(names)], "row_id int, title string")
     assert {r.row_id: (r.card_id, r.reason) for r in linking.link_titles(rows, cat).collect()} == {i: (f"c{i}", "ok") for i in range(10)}
+
+
+def test_fold_texts_beyond_a_head(spark, tmp_path):
+    from lotweave.plans import registry
+
+    spark.createDataFrame([(1, "x" * 60 + "É à")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert registry.queries()["fold_texts"](spark, str(tmp_path)).first().folded == "x" * 60 + "e a"
