@@ -37,6 +37,17 @@ def catalog_resolve(spark: SparkSession, d: str) -> DataFrame:
     return joins.resolve(rows, _catalog(spark, d).select("card_id", "p_brand", "p_size"), "row_id", ["p_brand", "p_size"], [F.lit(1)])
 
 
+@query("""
+WITH c AS (SELECT 'card' || p_partkey AS card_id, p_brand, p_size FROM part), r AS (SELECT p_partkey AS row_id, p_brand, p_size FROM part UNION ALL SELECT -1 - p_partkey, p_brand, p_size + 100 FROM part),
+m AS (SELECT row_id, count(DISTINCT card_id) AS n, min(card_id) AS card_id FROM r JOIN c USING (p_brand, p_size) GROUP BY row_id)
+SELECT r.row_id, CASE WHEN n = 1 THEN card_id END AS card_id, CASE WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS reason FROM r LEFT JOIN m USING (row_id)
+""")
+def catalog_resolve_all(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), "p_brand", "p_size")
+    rows = p.union(p.select(-1 - F.col("row_id"), "p_brand", F.col("p_size") + 100))
+    return joins.resolve(rows, _catalog(spark, d).select("card_id", "p_brand", "p_size"), "row_id", ["p_brand", "p_size"], [F.lit(1)])
+
+
 @query("""
 SELECT p_partkey, 'card' || p_partkey || '~' || trim(regexp_replace(lower(v.parallel), '[^a-z0-9]+', '-', 'g'), '-') AS variant_id FROM part JOIN (SELECT DISTINCT p_brand, p_type AS parallel FROM part WHERE p_size <= 2) v USING (p_brand)
 """)

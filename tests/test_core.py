@@ -149,3 +149,11 @@ def test_fold_texts_beyond_a_head(spark, tmp_path):
 
     spark.createDataFrame([(1, "x" * 60 + "É à")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert registry.queries()["fold_texts"](spark, str(tmp_path)).first().folded == "x" * 60 + "e a"
+
+
+def test_catalog_resolve_all_takes_every_part(spark, tmp_path):
+    from lotweave.plans import registry
+
+    spark.createDataFrame([(1, "a", "b", "t", 3), (2, "a", "b", "t", 4)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r.row_id: (r.card_id, r.reason) for r in registry.queries()["catalog_resolve_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("card1", "ok"), 2: ("card2", "ok"), -2: (None, "no_match"), -3: (None, "no_match")}
