@@ -157,6 +157,29 @@ def known_name_windows(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", F.explode(scalars.windows(words, 2)).alias("name")).distinct().join(known, "name", "left_semi").select("p_partkey", "name")
 
 
+@query("""
+WITH t AS (SELECT p_partkey, string_split(lower(p_type || ' ' || p_name || ' ' || p_brand), ' ') AS w FROM part), g AS (SELECT DISTINCT p_partkey, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS name FROM t)
+SELECT p_partkey, name FROM g WHERE name IN (SELECT p_name FROM part)
+""")
+def known_name_windows_all(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    words = F.split(F.lower(F.concat_ws(" ", "p_type", "p_name", "p_brand")), " ")
+    known = p.select(F.col("p_name").alias("name")).distinct()
+    return p.select("p_partkey", F.explode(scalars.windows(words, 2)).alias("name")).distinct().join(known, "name", "left_semi").select("p_partkey", "name")
+
+
+@query("""
+WITH c AS (SELECT p_partkey AS card_id, p_brand, string_split(p_name, ' ') AS s FROM part), r AS (SELECT p_partkey, p_brand, string_split(p_name || ' ' || lower(p_type), ' ') AS w FROM part),
+j AS (SELECT p_partkey, card_id, rank() OVER (PARTITION BY p_partkey ORDER BY len(s) DESC) AS rk FROM r JOIN c USING (p_brand) WHERE list_has_all(w, s)),
+b AS (SELECT p_partkey, count(DISTINCT card_id) AS n, min(card_id) AS card_id FROM j WHERE rk = 1 GROUP BY p_partkey)
+SELECT r.p_partkey, CASE WHEN n = 1 THEN card_id END AS card_id, CASE WHEN r.p_brand IS NULL THEN 'missing_field' WHEN n IS NULL THEN 'no_card' WHEN n > 1 THEN 'ambiguous' ELSE 'assigned' END AS status FROM r LEFT JOIN b USING (p_partkey)
+""")
+def set_word_match_all(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_type")
+    cards = p.select(F.col("p_partkey").alias("card_id"), "p_brand", F.split("p_name", " ").alias("set_words"))
+    return linking.assign_by_set(p.withColumn("words", F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")), cards, "p_partkey", "words", ["p_brand"])
+
+
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_partkey, l_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM lineitem WHERE l_quantity >= 49)")
 def pair_semi_join(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")

@@ -157,3 +157,12 @@ def test_catalog_resolve_all_takes_every_part(spark, tmp_path):
     spark.createDataFrame([(1, "a", "b", "t", 3), (2, "a", "b", "t", 4)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
     got = {r.row_id: (r.card_id, r.reason) for r in registry.queries()["catalog_resolve_all"](spark, str(tmp_path)).collect()}
     assert got == {1: ("card1", "ok"), 2: ("card2", "ok"), -2: (None, "no_match"), -3: (None, "no_match")}
+
+
+def test_lookups_in_all_of_part(spark, tmp_path):
+    from lotweave.plans import registry
+
+    spark.createDataFrame([(1, "red fox", "b1", "t"), (7, "red fox", "b2", "t"), (8, "blue cat", "b2", "t")], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    run = lambda name: sorted(map(tuple, registry.queries()[name](spark, str(tmp_path)).collect()))
+    assert run("known_name_windows_all") == [(1, "red fox"), (7, "red fox"), (8, "blue cat")]
+    assert run("set_word_match_all") == [(1, 1, "assigned"), (7, 7, "assigned"), (8, 8, "assigned")]
