@@ -3,8 +3,9 @@
 Prefix sums of turn tokens (words plus a constant per turn) choose spans: with stride s, a turn belongs to the span in which
 its last token falls, so spans hold whole turns. Each span becomes a window: the conversation's system turn (its first
 turn, if its role is ``system``), then the latest turns of the window before as far as they fit the history limit and the
-budget, then the span. Loss covers the assistant texts of the span only; repeated turns are masked. A span that exceeds
-the budget by itself (one very long turn) stays whole.
+budget, then the span. Loss covers the assistant texts of the span only; repeated turns are masked. A span stays whole
+and may exceed the budget by itself: it holds its first turn and, beside it, less than half of the budget without the system turn, so
+this takes a first turn of more than half of that; ``over_budget`` marks such windows.
 
 Texts are never cut. Control strings inside texts are broken by a backslash after their first character; one more is put
 where backslashes stand there already, so :func:`unescape` gives back every text.
