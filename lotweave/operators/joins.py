@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from ..staging import staged
 
 
 def semi_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
@@ -45,13 +46,6 @@ def same_sale(title_a: Column, title_b: Column, players_a: Column, players_b: Co
     return F.when(known, F.arrays_overlap(players_a, players_b)).otherwise(scalars.jaccard(scalars.tokens(title_a), scalars.tokens(title_b)) >= least)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` without its lineage, in ``spark.checkpoint.dir``; a local-mode session without that setting keeps it itself."""
-    spark = df.sparkSession
-    alone = spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None)
-    return df.localCheckpoint() if alone else df.checkpoint()
-
-
 def greedy_groups(rows: DataFrame, pairs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """(key, group_head): rows in ``order`` join the first group whose first row they match; else they open one. Pairs (a, b) give the matches.
 
@@ -59,16 +53,16 @@ def greedy_groups(rows: DataFrame, pairs: DataFrame, key: str, order: Sequence[s
     later partners out. Nothing but the pairs says who can meet, so no row has to be on one worker with another. Rounds are as many
     as the longest chain of partners that wait for each other, which stays short unless ``order`` follows the values compared.
     """
-    at = rows.select(F.col(key).alias("k"), F.struct(*order, key).alias("o"))
+    at = rows.select(F.col(key).alias("k"), F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order, key])]).alias("o"))
     both = pairs.select("a", "b").filter("a <> b").join(at.toDF("a", "ao"), "a").join(at.toDF("b", "bo"), "b")
     swap = F.col("ao") < F.col("bo")
-    edges = _cut(both.select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("b"), F.least("ao", "bo").alias("ao")).distinct())
+    edges = staged(both.select(F.when(swap, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("b"), F.least("ao", "bo").alias("ao")).distinct(), "greedy-pairs")
     left, taken = edges, edges.select("b").limit(0)
     while not left.isEmpty():
         heads = left.select("a").distinct().join(left.select(F.col("b").alias("a")), "a", "left_anti")
-        gone = _cut(left.join(heads, "a", "left_semi").select("b").distinct())
+        gone = staged(left.join(heads, "a", "left_semi").select("b").distinct(), "greedy-gone")
         taken = taken.union(gone)
-        left = _cut(left.join(gone, "b", "left_anti").join(gone.toDF("a"), "a", "left_anti"))
+        left = staged(left.join(gone, "b", "left_anti").join(gone.toDF("a"), "a", "left_anti"), "greedy-left")
     first = edges.join(taken, "b", "left_semi").join(taken.toDF("a"), "a", "left_anti").groupBy("b").agg(F.min_by("a", "ao").alias("head"))
     return rows.select(key).join(first, F.col(key) == F.col("b"), "left").select(key, F.coalesce("head", key).alias("group_head"))
 

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import staging
+
 SEGMENT = "__segment"
 
 
@@ -29,7 +31,7 @@ def _earlier(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running(rows: DataFrame, by: Sequence[str], order: Sequence[str], sums: Mapping[str, Column], segment: Column | None = None) -> DataFrame:
+def running(rows: DataFrame, by: Sequence[str], order: Sequence[str | Column], sums: Mapping[str, Column], segment: Column | None = None) -> DataFrame:
     """``rows`` with the sum of each column of ``sums`` from its key's first row up to this one. ``order`` must be total."""
     out = _cut(rows, segment).withColumns({f"__x_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()})
     w = Window.partitionBy(*by, SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -47,6 +49,15 @@ def ordinals(rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str
     return running(rows, by, order, {name: F.lit(1)}, segment)
 
 
+def ranged_running(rows: DataFrame, order: Sequence[Column], sums: Mapping[str, Column], name: str = "ranged") -> DataFrame:
+    """``rows`` with running sums along ``order``, which is total, over the whole table: for values without a natural segment.
+
+    Rows are dealt to tasks by ranges of ``order``; the range is the segment, and is stored with the rows so that it stays what it was.
+    """
+    ranges = rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    return running(staging.staged(ranges, name), [], order, sums, F.col("__range")).drop("__range")
+
+
 def last_known(rows: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str, segment: Column | None = None) -> DataFrame:
     """``rows`` with the latest value that isn't null, of this row or one before."""
     out = _cut(rows, segment).withColumn("__v", value)
