@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ MARKED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaa
 
 
 def fold_latin(text: Column) -> Column:
-    """Lower case with Latin marks removed, without leaving the JVM."""
+    """Lower case with the marks of common Latin letters removed, other characters kept; :func:`to_ascii` knows them all."""
     return F.translate(F.lower(text), MARKED, PLAIN)
 
 
@@ -34,16 +37,44 @@ def html_unescape(text: Column) -> Column:
     return F.pandas_udf(run, "string")(text)
 
 
+def _ascii_forms() -> dict[str, str]:
+    """ASCII rest of the compatibility decomposition of each character of the basic plane that has one, but for those that lose all."""
+    out = {}
+    for c in map(chr, (*range(0x80, 0xD800), *range(0xF900, 0x10000))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if x < "\x80")
+        if plain:
+            out[c] = plain
+    return out
+
+
+_FORMS = _ascii_forms()
+_SINGLE = {c: x for c, x in _FORMS.items() if len(x) == 1}
+#: Spread over several letters, such as ligatures, fractions and signs.
+_SPREAD = {c: x for c, x in _FORMS.items() if len(x) > 1 and ord(c) < 0x2500 or 0xFB00 <= ord(c) < 0xFB07}
+
+
+def to_ascii(text: Column) -> Column:
+    """Compatibility-decomposed, then only ASCII kept: marked letters become plain ones, letters without a plain form go. Case stays.
+
+    Runs in the JVM: a table of single letters, and one of letters that become several, which few texts have.
+    """
+    known = F.create_map(*[F.lit(x) for kv in _SPREAD.items() for x in kv])
+    spread = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(known, c), c)), "")
+    whole = F.when(text.rlike("[" + "".join(_SPREAD) + "]"), spread).otherwise(text)
+    plain = F.regexp_replace(F.translate(whole, "".join(_SINGLE), "".join(_SINGLE.values())), r"[^\x00-\x7F]+", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
+
+
 def slug(text: Column, longest: int | None = None) -> Column:
     """Folded, runs of others than a-z and 0-9 as one hyphen, none at the ends, cut at ``longest`` before trimming."""
-    out = F.regexp_replace(fold_latin(text), "[^a-z0-9]+", "-")
+    out = F.regexp_replace(F.lower(to_ascii(text)), "[^a-z0-9]+", "-")
     out = F.substring(F.ltrim(out, F.lit("-")), 1, longest) if longest else out
     return F.btrim(out, F.lit("-"))
 
 
 def name_key(text: Column) -> Column:
     """Folded, apostrophes gone, other separators as one space."""
-    return F.trim(F.regexp_replace(F.regexp_replace(fold_latin(text), "['’`]", ""), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(to_ascii(text)), "['`]", ""), "[^a-z0-9]+", " "))
 
 
 def number_key(text: Column) -> Column:
@@ -51,6 +82,11 @@ def number_key(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]", ""), "^0+([0-9])", "$1")
 
 
+def number_key_plain(text: Column) -> Column:
+    """Letters and digits in lower case, as they are written."""
+    return F.regexp_replace(F.lower(to_ascii(text)), "[^a-z0-9]", "")
+
+
 def words_from_slug(text: Column) -> Column:
     return F.initcap(F.replace(text, F.lit("-"), F.lit(" ")))
 
@@ -122,11 +158,18 @@ def with_premium(hammer: Column, percent: Column) -> Column:
 
 
 def bid_count(text: Column) -> Column:
-    return match(text, "([0-9]+)").try_cast("int")
+    """The number before the word bid or bids, thousands commas allowed."""
+    return F.replace(match(text, r"(?i)([0-9][0-9,]*)\s+bid"), F.lit(","), F.lit("")).try_cast("int")
 
 
 def sale_format(best_offer: Column, stated: Column, bids: Column) -> Column:
-    return F.when(best_offer, "best_offer").when(stated.isNotNull(), F.lower(stated)).when(bids > 0, "auction").otherwise("fixed_price")
+    """OBO, else the stated format as it is, else auction if there was a bid, else BIN."""
+    return F.when(best_offer, "OBO").when(first_filled(stated).isNotNull(), first_filled(stated)).when(bids > 0, "auction").otherwise("BIN")
+
+
+def with_shipping(price: Column, shipping: Column) -> Column:
+    """What a buyer paid in all, in cents; unknown or free shipping adds nothing."""
+    return cents(price + F.coalesce(shipping, F.lit(0.0)))
 
 
 # --- dates ------------------------------------------------------------------------------------------------------------
@@ -154,11 +197,19 @@ def year_or_zero(day: Column) -> Column:
     return F.coalesce(F.year(day), F.lit(0))
 
 
+#: The day that stands for an auction's season or month.
+SEASON_DAYS = {
+    "winter": "01-15", "spring": "05-01", "summer": "08-01", "fall": "11-01", "marketplace": "07-01", "encore": "07-01",
+    "january": "01-15", "february": "02-15", "march": "03-15", "april": "04-15", "may": "05-15", "june": "06-15",
+    "july": "07-15", "august": "08-15", "september": "09-15", "october": "10-15", "november": "11-15", "december": "12-15",
+}
+
+
 def season_date(year: Column, season: Column) -> Column:
-    """An approximate date for a season or month name."""
-    months = {"winter": 1, "spring": 4, "summer": 7, "fall": 10, "autumn": 10, "january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7, "august": 8, "september": 9, "october": 10, "november": 11, "december": 12}
-    month = F.try_element_at(F.create_map(*[F.lit(x) for kv in months.items() for x in kv]), F.lower(season))
-    return F.make_date(year, month, F.lit(1))
+    """The day that stands for a season or month of a year; mid-year for any other name or none, null without a year."""
+    known = F.create_map(*[F.lit(x) for kv in SEASON_DAYS.items() for x in kv])
+    day = F.coalesce(F.try_element_at(known, F.lower(F.trim(season))), F.lit("07-01"))
+    return F.concat_ws("-", F.lpad(year.try_cast("int").cast("string"), 4, "0"), day).try_cast("date")
 
 
 def age_hours(at: Column, as_of: Column) -> Column:
@@ -181,11 +232,20 @@ def tokens(text: Column, pattern: str = "[a-z0-9]+") -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({pattern})"), F.lit(1))
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once for each row, however often ``f`` names it: it is handed on as an array's one element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def windows(items: Column, n: int, sep: str = " ") -> Column:
     """All runs of ``n`` adjacent items, joined."""
-    last = F.size(items) - n + 1
-    each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(items, i, F.lit(n)), sep))
-    return F.when(last >= 1, each).otherwise(F.array().cast("array<string>"))
+
+    def runs(held: Column) -> Column:
+        last = F.size(held) - n + 1
+        each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(held, i, F.lit(n)), sep))
+        return F.when(last >= 1, each).otherwise(F.array().cast("array<string>"))
+
+    return once(items, runs)
 
 
 def jaccard(a: Column, b: Column) -> Column:

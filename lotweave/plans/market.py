@@ -71,11 +71,40 @@ def url_states(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", state.alias("state"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'best_offer' WHEN o_orderkey % 5 = 0 THEN 'auction house' WHEN o_custkey % 4 > 0 THEN 'auction' ELSE 'fixed_price' END AS format, (o_custkey % 4)::INTEGER AS bids FROM orders")
-def sale_formats(spark: SparkSession, d: str) -> DataFrame:
-    bids = scalars.bid_count(F.concat(F.col("o_custkey") % 4, F.lit(" bids")))
-    stated = F.when(F.col("o_orderkey") % 5 == 0, "Auction House")
-    return table(spark, d, "orders").select("o_orderkey", scalars.sale_format(F.col("o_orderstatus") == "O", stated, bids).alias("format"), bids.alias("bids"))
+_BID_TEXT = "CASE o_orderkey % 6 WHEN 0 THEN 'Lot ' || o_orderkey || ', ' || (o_custkey % 7) || ' bids' WHEN 1 THEN '1,' || (o_custkey % 900 + 100) || ' Bids' WHEN 2 THEN (o_custkey % 3) || '  bid' WHEN 3 THEN 'bids 12' WHEN 4 THEN '' END"
+_STATED = "CASE o_orderkey % 5 WHEN 0 THEN 'Auction House' WHEN 1 THEN ' ' END"
+
+
+@query(rf"""
+WITH t AS (SELECT o_orderkey, o_orderstatus = 'O' AS best_offer, {_BID_TEXT} AS t, {_STATED} AS stated FROM orders),
+b AS (SELECT *, try_cast(replace(regexp_extract(t, '([0-9][0-9,]*)\s+bid', 1, 'i'), ',', '') AS INTEGER) AS bids FROM t)
+SELECT o_orderkey, bids, CASE WHEN best_offer THEN 'OBO' WHEN trim(stated) <> '' THEN trim(stated) WHEN bids > 0 THEN 'auction' ELSE 'BIN' END AS format FROM b
+""")
+def listing_formats(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "O").alias("best_offer"), F.expr(_BID_TEXT).alias("t"), F.expr(_STATED).alias("stated"))
+    bids = scalars.bid_count(F.col("t"))
+    return t.select("o_orderkey", bids.alias("bids"), scalars.sale_format(F.col("best_offer"), F.col("stated"), bids).alias("format"))
+
+
+_SEASON = "CASE o_orderkey % 7 WHEN 0 THEN 'Winter' WHEN 1 THEN 'spring ' WHEN 2 THEN 'SUMMER' WHEN 3 THEN 'Fall' WHEN 4 THEN 'Encore' WHEN 5 THEN lower(strftime(o_orderdate, '%B')) ELSE 'No such season' END"
+
+
+@query(f"""
+WITH s AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, lower(trim({_SEASON})) AS s, lower(strftime(o_orderdate, '%B')) AS month_name FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE y || '-' || CASE WHEN s = month_name THEN lpad(m::VARCHAR, 2, '0') || '-15'
+  WHEN s = 'winter' THEN '01-15' WHEN s = 'spring' THEN '05-01' WHEN s = 'summer' THEN '08-01' WHEN s = 'fall' THEN '11-01' ELSE '07-01' END END AS day FROM s
+""")
+def season_days(spark: SparkSession, d: str) -> DataFrame:
+    season = F.expr(_SEASON.replace("strftime(o_orderdate, '%B')", "date_format(o_orderdate, 'MMMM')"))
+    year = F.when(F.col("o_orderkey") % 11 == 0, "n/a").otherwise(F.year("o_orderdate").cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", scalars.season_date(year, season).cast("string").alias("day"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS sold FROM orders")
+def mail_dates(spark: SparkSession, d: str) -> DataFrame:
+    mail = F.concat(F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    sold = F.date_format(F.to_utc_timestamp(scalars.mail_date(mail), F.current_timezone()), "yyyy-MM-dd")
+    return table(spark, d, "orders").select("o_orderkey", sold.alias("sold"))
 
 
 @query("SELECT o_orderkey, o_totalprice * CASE o_orderkey % 4 WHEN 0 THEN 1000.0::DOUBLE WHEN 1 THEN 1000000.0::DOUBLE WHEN 2 THEN 1000000000.0::DOUBLE ELSE 1.0::DOUBLE END AS money FROM orders")
@@ -85,14 +114,6 @@ def money_with_units(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", scalars.last_money(text).alias("money"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS sold, (year(o_orderdate) || CASE o_orderkey % 4 WHEN 0 THEN '-01-01' WHEN 1 THEN '-04-01' WHEN 2 THEN '-07-01' ELSE '-10-01' END) AS season_start FROM orders")
-def mail_and_season_dates(spark: SparkSession, d: str) -> DataFrame:
-    mail = F.concat(F.date_format("o_orderdate", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
-    season = F.element_at(F.array(*map(F.lit, ["Winter", "spring", "SUMMER", "Fall"])), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    sold = F.date_format(F.to_utc_timestamp(scalars.mail_date(mail), F.current_timezone()), "yyyy-MM-dd")
-    return table(spark, d, "orders").select("o_orderkey", sold.alias("sold"), scalars.season_date(F.year("o_orderdate"), season).cast("string").alias("season_start"))
-
-
 @query("SELECT p_partkey, 'part:' || p_size || '-' || trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', '-', 'g'), '-') || ':' || trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') || ':' || CASE WHEN p_partkey % 3 = 0 THEN 'nn-' || lower(p_type) ELSE p_partkey::VARCHAR END AS minted FROM part")
 def mint_ids(spark: SparkSession, d: str) -> DataFrame:
     number = F.when(F.col("p_partkey") % 3 != 0, F.col("p_partkey").cast("string"))
@@ -132,31 +153,6 @@ def first_occurrences(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", words.alias("words"))
 
 
-# --- joins ------------------------------------------------------------------------------------------------------------
-@query("""
-WITH c AS (SELECT p_partkey AS card_id, p_brand, string_split(p_name, ' ') AS s FROM part WHERE p_partkey % 7 = 0), r AS (SELECT p_partkey, p_brand, string_split(p_name || ' ' || lower(p_type), ' ') AS w FROM part WHERE p_partkey % 7 <> 0),
-j AS (SELECT p_partkey, card_id, rank() OVER (PARTITION BY p_partkey ORDER BY len(s) DESC) AS rk FROM r JOIN c USING (p_brand) WHERE list_has_all(w, s)),
-b AS (SELECT p_partkey, count(DISTINCT card_id) AS n, min(card_id) AS card_id FROM j WHERE rk = 1 GROUP BY p_partkey)
-SELECT r.p_partkey, CASE WHEN n = 1 THEN card_id END AS card_id, CASE WHEN r.p_brand IS NULL THEN 'missing_field' WHEN n IS NULL THEN 'no_card' WHEN n > 1 THEN 'ambiguous' ELSE 'assigned' END AS status FROM r LEFT JOIN b USING (p_partkey)
-""")
-def set_word_match(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", "p_type")
-    cards = p.filter("p_partkey % 7 = 0").select(F.col("p_partkey").alias("card_id"), "p_brand", F.split("p_name", " ").alias("set_words"))
-    rows = p.filter("p_partkey % 7 <> 0").withColumn("words", F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " "))
-    return linking.assign_by_set(rows, cards, "p_partkey", "words", ["p_brand"])
-
-
-@query("""
-WITH t AS (SELECT p_partkey, string_split(lower(p_type || ' ' || p_name || ' ' || p_brand), ' ') AS w FROM part), g AS (SELECT DISTINCT p_partkey, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS name FROM t)
-SELECT p_partkey, name FROM g WHERE name IN (SELECT p_name FROM part WHERE p_partkey % 50 = 0)
-""")
-def known_name_windows(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part")
-    words = F.split(F.lower(F.concat_ws(" ", "p_type", "p_name", "p_brand")), " ")
-    known = p.filter("p_partkey % 50 = 0").select(F.col("p_name").alias("name")).distinct()
-    return p.select("p_partkey", F.explode(scalars.windows(words, 2)).alias("name")).distinct().join(known, "name", "left_semi").select("p_partkey", "name")
-
-
 @query("""
 WITH t AS (SELECT p_partkey, string_split(lower(p_type || ' ' || p_name || ' ' || p_brand), ' ') AS w FROM part), g AS (SELECT DISTINCT p_partkey, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS name FROM t)
 SELECT p_partkey, name FROM g WHERE name IN (SELECT p_name FROM part)

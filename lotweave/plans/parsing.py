@@ -96,13 +96,6 @@ def slug_and_hash_ids(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", scalars.slug(F.col("p_name")).alias("slug"), F.split_part(scalars.stable_id("P", F.col("p_name"), F.col("p_brand")), F.lit(":"), F.lit(2)).alias("sha"), F.substring(F.sha2("p_type", 256), 1, 12).alias("short"))
 
 
-@query(r"""
-SELECT doc_id, translate(lower(substr(text, 1, 40)), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy') AS folded FROM documents
-""")
-def fold_heads(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", scalars.fold_latin(F.substring("text", 1, 40)).alias("folded"))
-
-
 @query(r"""
 SELECT doc_id, translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy') AS folded FROM documents
 """)
