@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import staging
 from ..functions import rules, scalars
 
 KEYS = ["observation_id", "sold_date"]
@@ -47,38 +49,23 @@ def stamp(df: DataFrame, **defaults: str) -> DataFrame:
     return df.withColumns({n: F.coalesce(scalars.first_filled(F.col(n)) if n in df.columns else F.lit(None), F.lit(v)) for n, v in defaults.items()})
 
 
-def winners(rows: DataFrame, order: Sequence[Column], keys: Sequence[str] = KEYS, at: str = "captured_at") -> DataFrame:
-    """Per key the winning row's locator (least ``order``, which must be total), the count, and the span of ``at``.
+def canonicalize(rows: DataFrame, order: Sequence[Column], lists: Mapping[str, str], conflicts: Mapping[str, Column], keys: Sequence[str] = KEYS, at: str = "captured_at") -> DataFrame:
+    """One row per key: the winner's columns (least ``order``, which must be total), counts, lists and flags. Null days group together.
 
-    Aggregates only narrow structs, so wide rows are neither sorted nor shuffled here.
+    One aggregate over one scan: each task keeps the best row of a key that it has seen, so of a key with many rows few are shuffled, and
+    which row wins doesn't depend on reading the source twice alike. A flag says that a value that isn't null differs within the key.
     """
-    pointer = F.struct("src_file", "src_row")
-    return rows.groupBy(*keys).agg(
-        F.min_by(pointer, F.struct(*order)).alias("winner"), F.count(F.lit(1)).alias("n_observations"), F.min(at).alias("first_seen_at"), F.max(at).alias("last_seen_at")
+    rest = [c for c in rows.columns if c not in keys]
+    sets = [F.sort_array(F.collect_set(c)).alias(f"__l_{n}") for n, c in lists.items()]
+    flags = [F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(f"__c_{n}") for n, c in conflicts.items()]
+    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("__w")
+    out = rows.groupBy(*keys).agg(best, F.count(F.lit(1)).alias("__n"), F.min(at).alias("__first"), F.max(at).alias("__last"), *sets, *flags)
+    return out.select(
+        *[F.col(c) if c in keys else F.col(f"__w.{c}").alias(c) for c in rows.columns], F.col("__n").alias("n_observations"), F.col("__first").alias("first_seen_at"),
+        F.col("__last").alias("last_seen_at"), *[F.col(f"__l_{n}").alias(n) for n in lists], *[F.col(f"__c_{n}").alias(n) for n in conflicts],
     )
 
 
-def provenance(rows: DataFrame, dup_keys: DataFrame, lists: Mapping[str, str], conflicts: Mapping[str, Column], keys: Sequence[str] = KEYS) -> DataFrame:
-    """Sorted distinct lists and conflict flags, only for keys with more than one row (a null-safe semi-join)."""
-    same = [rows[k].eqNullSafe(dup_keys[k]) for k in keys]
-    few = rows.join(dup_keys, same, "left_semi")
-    aggs = [F.sort_array(F.collect_set(c)).alias(n) for n, c in lists.items()]
-    aggs += [(F.count_distinct(c) > 1).alias(n) for n, c in conflicts.items()]
-    return few.groupBy(*keys).agg(*aggs)
-
-
-def canonicalize(rows: DataFrame, order: Sequence[Column], lists: Mapping[str, str], conflicts: Mapping[str, Column], keys: Sequence[str] = KEYS, at: str = "captured_at") -> DataFrame:
-    """One row per key: the winner's columns, counts, lists and flags. Null days group together."""
-    idx = winners(rows, order, keys, at)
-    extra = provenance(rows, idx.filter("n_observations > 1").select(*keys), lists, conflicts, keys)
-    picked = rows.join(idx.select(F.col("winner.src_file").alias("__f"), F.col("winner.src_row").alias("__r"), "n_observations", "first_seen_at", "last_seen_at"), (F.col("src_file") == F.col("__f")) & (F.col("src_row") == F.col("__r"))).drop("__f", "__r")
-    e = extra.select(*[F.col(k).alias(f"__{k}") for k in keys], *lists, *conflicts)
-    cond = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    out = picked.join(e, cond, "left").drop(*[f"__{k}" for k in keys])
-    out = out.withColumns({n: F.coalesce(F.col(n), F.when(F.col(c).isNotNull(), F.array(F.col(c))).otherwise(F.array().cast("array<string>"))) for n, c in lists.items()})
-    return out.withColumns({n: F.coalesce(F.col(n), F.lit(False)) for n in conflicts})
-
-
 def observation_key(id_col: str = "observation_id", day: str = "sold_date") -> Column:
     return F.concat_ws(":", F.col(id_col), F.coalesce(F.col(day).cast("string"), F.lit("nodate")))
 
@@ -95,8 +82,9 @@ def valuation_gate(title: Column, price: Column, best_offer: Column) -> Column:
 
 def first_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key; ``order`` should end in something unique. Null keys group together."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    rest = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__w"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"__w.{c}").alias(c) for c in rows.columns])
 
 
 def new_rows(batch: DataFrame, index: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -106,18 +94,35 @@ def new_rows(batch: DataFrame, index: DataFrame, keys: Sequence[str], order: Seq
 
 
 def insert_ignoring(batch: DataFrame, table: DataFrame, unique: Sequence[Sequence[str]], order: Sequence[Column]) -> DataFrame:
-    """Rows that an insert ignoring conflicts on any of several unique keys would add; keys with a null never conflict."""
-    out = batch
-    for keys in unique:
-        t = table.select(*[F.col(k).alias(f"__{k}") for k in keys])
-        out = out.join(t, [F.col(k) == F.col(f"__{k}") for k in keys], "left_anti")
-    for keys in unique:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        clash = F.lit(True)
-        for k in keys:
-            clash = clash & F.col(k).isNotNull()
-        out = out.withColumn("__rn", F.row_number().over(w)).filter(~clash | (F.col("__rn") == 1)).drop("__rn")
-    return out
+    """Rows that inserting one after another in ``order``, ignoring conflicts on any of several unique keys, would add.
+
+    A row that conflicts isn't inserted, so its other keys stay free. Each round accepts the rows that are first in all of their keys and
+    strikes out those that conflict with them; rounds are as many as rows wait for one another. Keys with a null never conflict.
+    """
+    filled = lambda keys: reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+    def without(rows: DataFrame, others: DataFrame) -> DataFrame:
+        for keys in unique:
+            o = others.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            rows = rows.join(o, [F.col(k) == F.col(f"__{k}") for k in keys], "left_anti")
+        return rows
+
+    numbered = batch.withColumn("__order", F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*order, F.monotonically_increasing_id()])]))
+    left = staging.staged(without(numbered, table), "insert-left")
+    some = reduce(lambda a, b: a | b, map(filled, unique))
+    accepted = left.filter(~some)
+    left = left.filter(some)
+    while True:
+        marked, first = left, F.lit(True)
+        for i, keys in enumerate(unique):
+            heads = left.filter(filled(keys)).groupBy(*[F.col(k).alias(f"__{i}_{k}") for k in keys]).agg(F.min("__order").alias(f"__first_{i}"))
+            marked = marked.join(heads, [F.col(k) == F.col(f"__{i}_{k}") for k in keys], "left")
+            first = first & (F.col(f"__first_{i}").isNull() | (F.col(f"__first_{i}") == F.col("__order")))
+        good = staging.staged(marked.filter(first).select(*left.columns), "insert-accepted")
+        accepted = accepted.unionByName(good)
+        left = staging.staged(without(left, good), "insert-left")
+        if left.isEmpty():
+            return accepted.drop("__order")
 
 
 def insert_counts(batch: DataFrame, table: DataFrame, keys: Sequence[str], valid: Column) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import staging
 from ..functions import scalars
 from ..operators import canonical, joins, reconcile
 from ..streaming import incremental
+from ..streaming.state import disk_state
 from .registry import query, table
 
 CUT = "2024-01-02"
@@ -58,12 +58,15 @@ def first_wins(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH h AS (SELECT event_id, user_id, event_type, props FROM events WHERE ts < TIMESTAMP '{CUT}'), b AS (SELECT event_id, user_id, event_type, props FROM events WHERE ts >= TIMESTAMP '{CUT}'),
-x AS (SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.user_id = b.user_id AND h.event_type = b.event_type) AND NOT EXISTS (SELECT 1 FROM h WHERE h.user_id = b.user_id AND h.props = b.props)),
-y AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS r1 FROM x), z AS (SELECT *, row_number() OVER (PARTITION BY user_id, props ORDER BY event_id) AS r2 FROM y WHERE r1 = 1)
-SELECT event_id, user_id, event_type FROM z WHERE r2 = 1 OR props IS NULL
+WITH s AS (SELECT user_id, list('t:' || event_type) || list('p:' || props) FILTER (props IS NOT NULL) AS seen FROM events WHERE ts < TIMESTAMP '{CUT}' GROUP BY user_id),
+b AS (SELECT user_id, list(struct_pack(e := event_id, k := list_filter(['t:' || event_type, 'p:' || props], lambda x: x IS NOT NULL)) ORDER BY event_id) AS todo FROM events WHERE ts >= TIMESTAMP '{CUT}' GROUP BY user_id),
+r AS (SELECT b.user_id, list_reduce(list_transform(todo, lambda x: struct_pack(ids := [x.e], keys := x.k)),
+  lambda acc, x: CASE WHEN list_has_any(acc.keys, x.keys) THEN acc ELSE struct_pack(ids := acc.ids || x.ids, keys := acc.keys || x.keys) END,
+  struct_pack(ids := []::BIGINT[], keys := coalesce(seen, []::VARCHAR[]))) AS done FROM b LEFT JOIN s USING (user_id))
+SELECT event_id, user_id, event_type FROM events WHERE event_id IN (SELECT unnest(done.ids) FROM r)
 """)
-def insert_any_key(spark: SparkSession, d: str) -> DataFrame:
+def insert_one_by_one(spark: SparkSession, d: str) -> DataFrame:
+    """What inserting later events one after another adds, ignoring those whose type or properties their user has already."""
     e, cut = table(spark, d, "events"), F.lit(CUT).cast("timestamp_ntz")
     out = canonical.insert_ignoring(e.filter(F.col("ts") >= cut), e.filter(F.col("ts") < cut), [["user_id", "event_type"], ["user_id", "props"]], [F.col("event_id")])
     return out.select("event_id", "user_id", "event_type")
@@ -108,14 +111,13 @@ def reconcile_diff(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.diff(o.filter("k % 3 <> 0"), have, "k", "t", "v")
 
 
-@query("SELECT 'orders' AS source, o_orderkey AS id, o_totalprice AS price, NULL::DOUBLE AS premium_pct FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_extendedprice, l_tax FROM lineitem WHERE l_linenumber = 1")
-def union_by_name_missing(spark: SparkSession, d: str) -> DataFrame:
+@query("SELECT 'orders' AS source, o_orderkey AS id, NULL::BIGINT AS line, o_totalprice AS price, NULL::DOUBLE AS premium_pct FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, l_extendedprice, l_tax FROM lineitem")
+def union_by_name_missing_all(spark: SparkSession, d: str) -> DataFrame:
     specs = {
         "orders": {"id": F.col("o_orderkey"), "price": F.col("o_totalprice")},
-        "lineitem": {"id": F.col("l_orderkey"), "price": F.col("l_extendedprice"), "premium_pct": F.col("l_tax")},
+        "lineitem": {"id": F.col("l_orderkey"), "line": F.col("l_linenumber").cast("long"), "price": F.col("l_extendedprice"), "premium_pct": F.col("l_tax")},
     }
-    raws = {"orders": table(spark, d, "orders"), "lineitem": table(spark, d, "lineitem").filter("l_linenumber = 1")}
-    return canonical.normalize_sources(raws, specs).select("source", "id", "price", "premium_pct")
+    return canonical.normalize_sources({n: table(spark, d, n) for n in specs}, specs).select("source", "id", "line", "price", "premium_pct")
 
 
 @query("""
@@ -141,15 +143,15 @@ def cross_source_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def streaming_dedup_available_now(spark: SparkSession, d: str) -> DataFrame:
-    """The events table as a stream of files, deduplicated by its state into a table."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lotweave-stream-")
-    out = f"{base.rstrip('/')}/events-{spark.range(1).select(F.uuid()).first()[0]}"
+    """The events table as a stream of files, deduplicated by its state on disk into a table."""
+    out = staging.new_path(spark, "events-stream")
     path = f"{d}/events.parquet"
     whole = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     single = whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(whole).isFile()
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]" if single else path)
     rows = incremental.dedup_stream(stream.select("user_id", "event_type"), ["user_id", "event_type"])
-    rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    with disk_state(spark):
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
     return spark.read.parquet(f"{out}/rows")
 
 
