@@ -27,6 +27,18 @@ def first_of(cases: Sequence[tuple[Column, str]], default: str | None = None) ->
     return out.otherwise(F.lit(default))
 
 
+def first_reason(cases: Sequence[tuple[Column, Column]]) -> Column:
+    """The text beside the first condition that holds; null if none does. An unknown condition doesn't hold."""
+    return F.coalesce(*[F.when(F.coalesce(c, F.lit(False)), text) for c, text in cases])
+
+
+def sql_case(text: str, rules: Sequence[tuple[str, str]], default: str | None = None) -> str:
+    """The CASE expression over regexp_matches that gives the name of the first rule; ``text`` is an SQL expression."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    cases = " ".join(f"WHEN regexp_matches({text}, {quoted(p)}) THEN {quoted(n)}" for n, p in rules)
+    return f"CASE {cases} ELSE {'NULL' if default is None else quoted(default)} END"
+
+
 def all_reasons(cases: Sequence[tuple[Column, str]]) -> Column:
     """Names of all conditions that hold, in order."""
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in cases]))
