@@ -15,6 +15,50 @@ def audit(rows: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(n) for n, c in checks.items()])
 
 
+def histograms(rows: DataFrame, buckets: Mapping[str, Column]) -> DataFrame:
+    """(name, bucket, n): one histogram per name, null buckets as empty text, all from one pass over the rows."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.coalesce(c.cast("string"), F.lit("")).alias("bucket")) for n, c in buckets.items()]))
+    return rows.select(each.alias("h")).groupBy("h.name", "h.bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def store_audit(rows: DataFrame, key: str, price: Column, flags: Mapping[str, Column]) -> DataFrame:
+    """One row of counts: rows, without key, distinct keys, repeats, prices present, zero or missing and their sum, and each flag."""
+    p = price.cast("double")
+    facts = {"no_id": F.col(key).isNull(), "price_ok": p > 0, "price_zero": p <= 0, "price_missing": p.isNull(), **flags}
+    per = rows.groupBy(F.col(key).alias("__k")).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(F.when(p > 0, p.cast("decimal(28,6)"))).alias("__sum"), *[F.count_if(c).alias(f"__{n}") for n, c in facts.items()]
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    known = F.col("__k").isNotNull()
+    return per.agg(
+        total("__n").alias("rows"), F.count_if(known).alias("unique_ids"), total(F.when(known, F.col("__n") - 1)).alias("intra_dupes"),
+        F.coalesce(F.sum("__sum"), F.lit(0)).cast("double").alias("price_sum"), *[total(f"__{n}").alias(n) for n in facts],
+    )
+
+
+def totals(rows: DataFrame, by: Sequence[str], distinct: Sequence[str]) -> DataFrame:
+    """Rows and distinct values of some columns per group."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.count_distinct(c).alias(f"n_{c}") for c in distinct])
+
+
+def shrink_verdict(before: DataFrame, after: DataFrame, by: str, floor: int, share: float = 0.1) -> DataFrame:
+    """One row (n_before, n_after, refuse, groups): refused if the total, or any group of at least ``floor``, lost more than ``share``."""
+    g = shrink_guard(before, after, by, floor, share)
+    out = g.agg(F.coalesce(F.sum("n_before"), F.lit(0)).alias("n_before"), F.coalesce(F.sum("n_after"), F.lit(0)).alias("n_after"), F.sort_array(F.collect_list(F.when(F.col("refuse"), F.col(by).cast("string")))).alias("groups"))
+    return out.withColumn("refuse", (F.size("groups") > 0) | (F.col("n_after") < F.col("n_before") * (1 - share)))
+
+
+def yields(rows: DataFrame, by: Sequence[str], got: str) -> DataFrame:
+    """Runs per group with mean and median of what they yielded."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_runs"), F.avg(got).alias("mean"), F.median(got).alias("median"))
+
+
+def tier_load(items: DataFrame, tier: str, days: Mapping[str, float]) -> DataFrame:
+    """(tier, n, per_day): members of each tier, and how many are due a day if each is read every so many days."""
+    every = F.try_element_at(F.create_map(*[F.lit(x) for t, d in days.items() for x in (t, float(d))]), F.col(tier))
+    return items.groupBy(tier).agg(F.count(F.lit(1)).alias("n")).withColumn("per_day", F.col("n") / every)
+
+
 def overlap_bitmask(rows: DataFrame, key: str, bit: Column) -> DataFrame:
     """How many keys occur in exactly which of the inputs; ``bit`` is 1, 2, 4, ... by input."""
     return rows.groupBy(key).agg(F.bit_or(bit).alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("n_keys"))

@@ -37,6 +37,46 @@ def due(items: DataFrame, log: DataFrame, ring: str, item: str, at: str, as_of:
     return out.withColumn("due", is_due)
 
 
+def pass_due(items: DataFrame, log: DataFrame, passes: DataFrame, ring: str, item: str, at: str, as_of: Column, every_hours: float, slack: float = 1.5) -> DataFrame:
+    """Per ring: members, those done in its present pass, and whether a new pass begins or this one goes on.
+
+    ``passes`` (ring, began) says when each ring's pass began; visits before that are of an earlier pass and count for nothing, like those of items that
+    are no longer members. ``state``: new_pass if none began yet, if it is complete and ``every_hours`` passed since it began, or in any case after
+    ``slack`` times that; complete if nothing is left until then; else reading.
+    """
+    began = passes.groupBy(F.col(ring).alias("__ring")).agg(F.max("began").alias("began"))
+    members = items.select(ring, item).distinct().join(began, F.col(ring) == F.col("__ring"), "left").drop("__ring")
+    seen = log.select(F.col(item).alias("__i"), F.col(at).alias("__at")).groupBy("__i").agg(F.max("__at").alias("__at"))
+    done = F.col("__at") >= F.col("began")
+    out = members.join(seen, F.col(item) == F.col("__i"), "left").groupBy(ring)
+    out = out.agg(F.count(F.lit(1)).alias("n_items"), F.count_if(F.coalesce(done, F.lit(False))).alias("n_done"), F.max("began").alias("began"))
+    age = (F.unix_timestamp(as_of) - F.unix_timestamp("began")) / 3600
+    whole = F.col("n_done") >= F.col("n_items")
+    new = F.col("began").isNull() | (whole & (age > every_hours)) | (age > slack * every_hours)
+    return out.withColumn("state", F.when(new, "new_pass").when(whole, "complete").otherwise("reading"))
+
+
+#: Which status of a run may follow which.
+STEPS = {
+    "planned": ["running", "skipped"], "running": ["completed", "empty", "failed", "blocked", "paused", "partial"], "partial": ["running", "failed", "completed"],
+    "failed": ["running", "skipped"], "blocked": ["running", "paused"], "paused": ["running"], "completed": [], "empty": [], "skipped": [],
+}
+
+
+def bad_steps(log: DataFrame, keys: Sequence[str], order: Sequence[str], status: str = "status", steps: dict[str, list[str]] = STEPS) -> DataFrame:
+    """(keys, order, from_status, status): entries of a log that don't follow from the one before; a log begins with ``planned`` or ``running``."""
+    from pyspark.sql import Window
+
+    before = F.lag(status).over(Window.partitionBy(*keys).orderBy(*order))
+    may = F.lit(False)
+    for first, after in steps.items():
+        if after:
+            may = may | ((F.col("from_status") == first) & F.col(status).isin(after))
+    out = log.select(*keys, *order, before.alias("from_status"), status)
+    begins = F.col("from_status").isNull() & F.col(status).isin("planned", "running")
+    return out.filter(~F.coalesce(begins | may, F.lit(False)))
+
+
 def contact_allowed(state: Column, retry_at: Column, as_of: Column) -> Column:
     """Neither barred nor before its time; an unknown source may be contacted."""
     return ~F.coalesce(state, F.lit("")).isin(BARRED) & (retry_at.isNull() | (retry_at <= as_of))

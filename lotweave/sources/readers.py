@@ -16,8 +16,14 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """src_file and a row number that keeps the order within a file."""
-    return df.select("*", F.col("_metadata.file_path").alias("src_file"), F.monotonically_increasing_id().alias("src_row"))
+    """src_file and src_row: the row's number within the file where the format has one (Parquet), else a number that keeps the order within a file.
+
+    The latter follows from how one scan splits its files, so tell rows apart by it within one scan only, as :func:`..operators.canonical.canonicalize`
+    does, or land the rows as Parquet first.
+    """
+    meta = df.metadataColumn("_metadata")
+    row = meta["row_index"] if "row_index" in df.select(meta.alias("m")).schema["m"].dataType.names else F.monotonically_increasing_id()
+    return df.select("*", meta["file_path"].alias("src_file"), row.alias("src_row"))
 
 
 def read_json(spark: SparkSession, path: str | list[str], columns: Sequence[str], lines: bool | None = None) -> DataFrame:
@@ -28,10 +34,34 @@ def read_json(spark: SparkSession, path: str | list[str], columns: Sequence[str]
 
 
 def read_nested(spark: SparkSession, path: str, schema: str, needed: str) -> DataFrame:
-    """Lines with nested objects; rows without ``needed`` (bad lines too) go."""
+    """Lines with nested objects; rows without ``needed`` (bad lines too) go, :func:`nested_counts` counts them."""
     return with_lineage(spark.read.schema(schema).json(path)).filter(F.col(needed).isNotNull())
 
 
+def nested_counts(spark: SparkSession, path: str, schema: str, needed: str) -> DataFrame:
+    """One row (n_seen, n_kept, n_without, n_broken) of what :func:`read_nested` makes of the lines of ``path``."""
+    rows = spark.read.schema(f"{schema}, __broken string").option("columnNameOfCorruptRecord", "__broken").json(path)
+    kept, broken = F.col(needed).isNotNull(), F.col("__broken").isNotNull()
+    return rows.select(kept.alias("k"), broken.alias("b")).agg(
+        F.count(F.lit(1)).alias("n_seen"), F.count_if("k").alias("n_kept"), F.count_if(~F.col("k") & ~F.col("b")).alias("n_without"), F.count_if(~F.col("k") & F.col("b")).alias("n_broken")
+    )
+
+
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet files by name, united by name; folders called ``key=value`` give no columns."""
+    parts = [spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(p) for p in paths]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def seed(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
+    """The records of a small JSON document's array ``field``."""
+    text = spark.read.text(path, wholetext=True)
+    return text.select(F.explode(F.from_json("value", f"struct<`{field}`:array<struct<{schema}>>>")[field]).alias("r")).select("r.*")
+
+
 def read_lake(spark: SparkSession, base: str, *paths: str) -> DataFrame:
     """Partitioned Parquet, united by name."""
     return spark.read.option("mergeSchema", True).option("basePath", base).parquet(*(paths or (base,)))
