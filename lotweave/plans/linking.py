@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..operators import joins, linking
+from ..operators import joins, library, linking, strict
 from .registry import query, table
 
 
@@ -26,17 +26,6 @@ def strict_title_links(spark: SparkSession, d: str) -> DataFrame:
     return linking.link_titles(rows, words.select("card_id", "character", "set_words", "number"))
 
 
-@query("""
-WITH c AS (SELECT 'card' || p_partkey AS card_id, p_brand, p_size FROM part), r AS (SELECT p_partkey AS row_id, p_brand, p_size FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey + 1000000, p_brand, p_size + 100 FROM part WHERE p_partkey % 50 = 0),
-m AS (SELECT row_id, count(DISTINCT card_id) AS n, min(card_id) AS card_id FROM r JOIN c USING (p_brand, p_size) GROUP BY row_id)
-SELECT r.row_id, CASE WHEN n = 1 THEN card_id END AS card_id, CASE WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS reason FROM r LEFT JOIN m USING (row_id)
-""")
-def catalog_resolve(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), "p_brand", "p_size")
-    rows = p.filter("row_id % 3 = 0").union(p.filter("row_id % 50 = 0").select(F.col("row_id") + 1000000, "p_brand", F.col("p_size") + 100))
-    return joins.resolve(rows, _catalog(spark, d).select("card_id", "p_brand", "p_size"), "row_id", ["p_brand", "p_size"], [F.lit(1)])
-
-
 @query("""
 WITH c AS (SELECT 'card' || p_partkey AS card_id, p_brand, p_size FROM part), r AS (SELECT p_partkey AS row_id, p_brand, p_size FROM part UNION ALL SELECT -1 - p_partkey, p_brand, p_size + 100 FROM part),
 m AS (SELECT row_id, count(DISTINCT card_id) AS n, min(card_id) AS card_id FROM r JOIN c USING (p_brand, p_size) GROUP BY row_id)
@@ -71,3 +60,35 @@ def same_sale_groups(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     pairs = joins.near_pairs(o, "o_orderkey", "o_totalprice", "o_orderdate", 1.0, 3, ["o_orderpriority"])
     return joins.greedy_groups(o, pairs, "o_orderkey", ["o_orderkey"])
+
+
+_LINES = strict.LinkRules(sets=[strict.SetRule(f"Brand#{i}", ("brand", str(i))) for i in range(1, 100)], uncatalogued=["promo"])
+
+
+@query()
+def strict_card_links(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of all parts, some with parallels, serials or words that are refused, linked to all parts as cards of numbered sets."""
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+    code = F.concat(F.lit("PT-"), (k % 1000).cast("string"))
+    catalog = p.select(k.cast("string").alias("card_id"), F.col("p_brand").alias("set_key"), F.lit("base").alias("section"), code.alias("code"), F.col("p_name").alias("character"))
+    lists = p.select(F.col("p_brand").alias("set_key"), F.lit("base").alias("section")).distinct()
+    on_list = F.explode(F.array(*[F.struct(F.lit(n).alias("parallel"), F.lit(r).cast("int").alias("run")) for n, r in (("Gold Refractor", 50), ("Refractor", None), ("SuperFractor", 1))]))
+    lists = lists.select("*", on_list.alias("p")).select("set_key", "section", "p.parallel", "p.run")
+    said = F.when(k % 7 == 0, "gold refractor 3/50").when(k % 7 == 1, "gold /25").when(k % 7 == 2, "psa 9").when(k % 7 == 3, "teal").when(k % 7 == 4, "lot").when(k % 7 == 5, "superfractor").otherwise("")
+    rows = p.select(k.alias("row_id"), F.concat_ws(" ", F.regexp_replace("p_brand", "#", " "), "p_name", F.concat(F.lit("#"), code), said).alias("title"))
+    return strict.link(rows, catalog, lists, _LINES)
+
+
+@query()
+def library_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of all parts assigned to addresses made of all parts."""
+    k = F.col("p_partkey")
+    p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    brand = F.concat(F.lit("set-"), F.regexp_extract("p_brand", "([0-9]+)", 1))
+    slug = F.concat(F.lit("cards-cards-"), F.lit(2000) + k % 20, F.lit("-"), brand, F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.when(k % 3 == 0, "-gold").otherwise(""), F.lit("-"), F.col("p_size"))
+    lib = library.parse_library(p.select(slug.alias("slug")))
+    sets = p.select(F.replace(brand, F.lit("-"), F.lit(" ")).alias("name"), brand.alias("set_slug")).distinct()
+    title = F.concat_ws(" ", (F.lit(2000) + k % 20).cast("string"), F.replace(brand, F.lit("-"), F.lit(" ")), "p_name", F.when(k % 3 == 0, "gold"), F.concat(F.lit("#"), F.col("p_size")))
+    none = spark.createDataFrame([], "prefix string, set_slug string")
+    return library.assign(p.select(k.alias("row_id"), title.alias("title")), lib, sets, ["gold"], ["gold"], none, "pokemon", "morgan dollar")

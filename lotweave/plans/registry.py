@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from . import dedup, linking, listings, market, monitoring, parsing  # noqa: F401  each registers its own
+    from . import dedup, linking, listings, market, monitoring, parsing, sales  # noqa: F401  each registers its own
 
     return _queries
 
