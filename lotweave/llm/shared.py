@@ -1,75 +1,40 @@
-"""Shared-folder tables, checked broadcasts and small helpers used by the operators."""
+"""Helpers of the corpus operators: words, batch sizes; tables in the shared folder come from :mod:`lotweave.staging`."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import delete, fresh, new_path, recorded, release, shared_dir, small_enough, staged, tidy
+
+__all__ = ["GAP", "WORD", "delete", "fresh", "id_text", "new_path", "parquet_path", "recorded", "release", "shared_dir", "small_batches", "small_enough", "staged", "tidy", "words_of"]
+
 #: A word: a run of anything but space and 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: A run of those separators.
 GAP = r"[\x20\x09-\x0D]+"
 
-_made: list[str] = []
-_local: str | None = None
-
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Lower the session's rows and bytes per Arrow batch: whole texts are handed to Python, and a batch is held on both sides.
 
-    Only a local-mode session without that setting gets a temporary folder; on a cluster its absence is an error, since
-    a folder of one machine would hide files from the others.
+    The setting stays, since a plan reads it when it runs, which is after the operator has returned it.
     """
-    global _local
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local is None:
-        _local = tempfile.mkdtemp(prefix="lotweave-shared-")
-        atexit.register(shutil.rmtree, _local, True)
-    return "file://" + _local
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lower the session's rows per Arrow batch: whole texts are handed to Python, and a batch is held on both sides."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, rows)
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/lotweave/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
-    return path
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete every table that :func:`staged` wrote; call it once results that read them are stored."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
-def small_enough(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if counting shows at most ``max_rows`` rows, else as it is (a shuffled join)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < int(str(spark.conf.get(key)).rstrip("b")) <= most:
+            spark.conf.set(key, most)
+
+
+def parquet_path(df: DataFrame) -> str | None:
+    """The folder of a DataFrame that is nothing but a scan of one Parquet table, else None."""
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return None
+    relation = plan.relation()
+    roots = relation.location().rootPaths()
+    if roots.size() != 1 or relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat" or relation.partitionSchema().size():
+        return None
+    return roots.apply(0).toString()
 
 
 def id_text(col: str) -> Column:
