@@ -97,6 +97,7 @@ COMMON = "a all an and any are as at be by do for from how if in into is it mit
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 MAX_BROADCAST_DIRS = 200_000
+TEXTS_PER_TASK, MOST_TASKS = 1024, 20_000
 
 
 class Space:
@@ -150,9 +151,13 @@ def scan(files: DataFrame, path: Column, templates: Sequence[tuple[str, str]] =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     anchored, solid = _any_of(space.anchors), _any_of(space.anchors - set(COMMON))
     f = files.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), path.cast("string").alias("path"), F.lower(text).alias("text"))
-    f = shared.staged(f.withColumn("text", F.when(F.col("text").rlike(anchored), F.col("text"))), "licence-texts")
+    f = f.withColumn("text", F.when(F.col("text").rlike(anchored), F.col("text"))).withColumn("some", F.col("text").isNotNull())
+    f = shared.staged(f, "licence-texts")
 
-    g = f.filter("text IS NOT NULL").withColumn("lines", F.filter(F.split("text", r"\r\n|\n|\r", -1), lambda x: x.rlike("[a-z0-9]")))
+    # All that follows is grouped by row and more, so dealing the texts by row once spares the shuffles of their tokens. A text's blocks take far
+    # longer than its bytes let expect, so the number of tasks follows the texts.
+    tasks = min(MOST_TASKS, max(1, -(-f.filter("some").count() // TEXTS_PER_TASK)))
+    g = f.filter("some").select("row", "text").repartition(tasks, "row").withColumn("lines", F.filter(F.split("text", r"\r\n|\n|\r", -1), lambda x: x.rlike("[a-z0-9]")))
     g = g.withColumn("at", F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(solid), i)), lambda i: i.isNotNull()))
     n_lines = F.size("lines")
     block = lambda i, n: F.struct(i.cast("int").alias("i"), n.cast("int").alias("n"))
