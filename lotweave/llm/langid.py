@@ -6,7 +6,9 @@ document, the masks' set bits are counted by language; counts are corrected for
 decides, ties by name.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. Training rows with a null language are ignored. Without
-any training row all texts are ``und``. An empty table gives an empty result. Only ``text_col`` is read for a prediction.
+any training row all texts are ``und``. Repeated rows are predicted each, and learnt from each. Whole texts of any length are read,
+one at a time. An empty table gives an empty result. Only ``text_col`` is read for a prediction; :func:`predicted` keeps the other
+columns, whatever they are called, but for one called ``as_col``.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import shared, workers
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,18 +102,24 @@ class Filters:
         return np.array(rates) ** self.k
 
 
-def fit(docs: DataFrame, usable: Column | None = None, n: int = 3, k: int = 3, bits: int = 2**18, per_language: int = 4_000, least_share: float = 2e-5, near: float = 0.5, seed: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Filters | None:
+def fit(
+    docs: DataFrame, usable: Column | None = None, n: int = 3, k: int = 3, bits: int = 2**18, per_language: int = 4_000, least_share: float = 2e-5, near: float = 0.5, seed: int = 5,
+    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+) -> Filters | None:
     """Fit on rows with a language for which ``usable`` holds; about ``per_language`` rows of each, by hash of their ids.
 
     An n-gram goes into a language's filter if its share of the language's n-grams is at least ``least_share`` and at least ``near``
-    times its largest share in any language. So at most 1 / ``least_share`` n-grams per language come to the driver.
+    times its largest share in any language. So at most 1 / ``least_share`` n-grams per language come to the driver: 50,000 for
+    each language, which grows with the languages and not with the texts.
     """
+    shared.small_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull())
     rows = rows.filter(usable) if usable is not None else rows
-    sizes = shared.staged(rows.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("c")), "lang-sizes")
-    rows = rows.join(shared.small_enough(sizes, 100_000), F.col(lang_col) == F.col("l"))
-    draw = F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(2**31)) / 2.0**31
-    rows = rows.filter(draw < F.lit(float(per_language)) / F.col("c")).select(F.col("l").cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    sizes = shared.staged(rows.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("c")), "lang-sizes")
+    rows = rows.join(shared.small_enough(sizes, 100_000), F.col("lang") == F.col("l"))
+    draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(2**31)) / 2.0**31
+    rows = rows.filter(draw < F.lit(float(per_language)) / F.col("c")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held = _letters(), {}
@@ -133,7 +141,7 @@ def fit(docs: DataFrame, usable: Column | None = None, n: int = 3, k: int = 3, b
                     total = 0
         yield from flush()
 
-    grams = shared.staged(rows.mapInArrow(count, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c")), "lang-ngrams")
+    grams = shared.staged(rows.mapInArrow(workers.tidied(count), "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c")), "lang-ngrams")
     totals = grams.groupBy("lang").agg(F.sum("c").alias("total"))
     shares = grams.join(shared.small_enough(totals, 100_000), "lang").select("lang", "gram", (F.col("c") / F.col("total")).alias("share"))
     most = shares.groupBy("gram").agg(F.max("share").alias("most"))
@@ -151,7 +159,7 @@ def fit(docs: DataFrame, usable: Column | None = None, n: int = 3, k: int = 3, b
 
 def predicted(docs: DataFrame, filters: Filters | None, text_col: str = "text", as_col: str = "prediction") -> DataFrame:
     """``docs`` with a struct (lang, score) for every row; the score is the winner's part of all corrected counts."""
-    known = docs.sparkSession.sparkContext.broadcast(filters)  # one mask per position: a fixed size
+    known = docs.sparkSession.sparkContext.broadcast(filters)  # one mask per position: 2 MB for each 64 languages
 
     def predict(texts: pd.Series) -> pd.DataFrame:
         f = known.value
