@@ -4,14 +4,15 @@ Statistics come from whole texts: byte-class shares, word, line and repetition m
 Labelled rows (at most ``max_labelled``, the smallest hashes of their ids) are split by hash: four fifths fit the ridge
 through normal equations that each partition sums for its rows, one fifth fits the isotonic steps on a histogram of scores.
 
-Nulls: a null text is the empty text; label rows with a null id or label are ignored; an id that is labelled more than once
-counts with the mean of its labels. Without any label every score is 0.5. An empty table gives an empty result.
+Whole texts of any length are read, one at a time. Nulls: a null text is the empty text; label rows with a null id or label are
+ignored; an id that is labelled more than once counts with the mean of its labels. Repeated rows are scored each, and a labelled
+id that comes more than once is learnt from each of its rows. Without any label every score is 0.5. An empty table gives an empty
+result. Other columns are kept by :func:`scored`; ``as_col`` replaces a column of that name.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import shared, workers
 
 _CLASSES = [
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,", b"!?", b"$%&#*+=~^", b"|<>{}[]\\/_@", b"'\"()-:;", b"\n\r", b" \t\x0b\x0c", bytes(range(128, 256)), bytes([*range(0, 9), *range(14, 32), 127]),
@@ -110,13 +111,18 @@ def _sums(rows: DataFrame, make, width: int) -> np.ndarray:
             i, j = np.indices(total.shape)
             yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel(), pa.float64())], ["i", "j", "v"])
 
-    got = rows.select("x", "y").mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    # Decimals add up to the same sum in whatever order partitions come.
+    parts = rows.select("x", "y").mapInArrow(workers.tidied(run), "i int, j int, v double")
+    got = parts.groupBy("i", "j").agg(F.sum(F.col("v").cast("decimal(38,12)")).cast("double").alias("v")).toArrow()
     out = np.zeros((width, width))
     out[got.column("i").to_numpy(), got.column("j").to_numpy()] = got.column("v").to_numpy()
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, n_features: int = 192, gamma: float = 0.02, ridge: float = 1e-4, max_labelled: int = 20_000, bins: int = 2048, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, usable: Column | None = None, n_features: int = 192, gamma: float = 0.02, ridge: float = 1e-4, max_labelled: int = 20_000, bins: int = 2048,
+    seed: int = 11, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+) -> Model | None:
     """Fit on the labelled rows for which ``usable`` (a condition on ``id_col``) holds; None without labels."""
     shared.small_batches(docs.sparkSession)
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -167,7 +173,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, n_feat
 
     held = rows.filter("calibrates")
     held = held if not held.isEmpty() else rows
-    h = held.select("x", "y").mapInArrow(histogram, "bucket long, s double, y double").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.avg("s").alias("s"), F.avg("y").alias("y")).orderBy("bucket").toArrow()
+    mean_of = lambda c: (F.sum(F.col(c).cast("decimal(38,12)")).cast("double") / F.count(F.lit(1))).alias(c)
+    h = held.select("x", "y").mapInArrow(workers.tidied(histogram), "bucket long, s double, y double")
+    h = h.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), mean_of("s"), mean_of("y")).orderBy("bucket").toArrow()
     count, s, y = (h.column(c).to_numpy() for c in ("n", "s", "y"))
     model.knots, model.values = s, pool_adjacent((y * count + 0.01 * y.mean()) / (count + 0.01), count + 0.01)
     return model
