@@ -5,8 +5,8 @@ budget ends; only that bucket is summed again on the next twelve bits of the has
 source, so documents are chosen by a comparison, without sorting them and without a document ever meeting another.
 
 Nulls: a null text has size 0, a null source is a source of its own (ordered last), a null id hashes as the empty text.
-Rows with the same id are taken or left together. An empty table gives an empty result. Extra columns are kept by
-:func:`apply_mix` and are ignored by :func:`mix_sizes`.
+Rows with the same id are taken or left together, so ties of hashes need no rule. Whole texts of any length are counted. An empty
+table gives an empty result. Other columns are kept by :func:`apply_mix`, whatever they are called, and are ignored by :func:`mix_sizes`.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import ordered
 from . import shared
 
 #: Bits of the hash that each histogram adds, in hexadecimal digits.
@@ -36,23 +37,22 @@ def source_targets(by_source: DataFrame, weights: Sequence[float], share: float,
     """Targets from (source, source_size): water-filling of ``share`` times all sizes, capped at ``most`` times each.
 
     Sources by code point, null last, get the weights in turn. Sharing the excess by weight until no source is above its
-    cap ends at min(cap, level * weight); ordered by cap/weight, the level follows from prefix sums. One row per source
-    goes through here, and the sort spills, so the number of sources may be large.
+    cap ends at min(cap, level * weight); ordered by cap/weight, the level follows from prefix sums. There may be a source per
+    host, so ranks and prefix sums run within ranges of sources that tasks hold, each of which hands one small row to the next.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
-    t = by_source.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    nth = ordered.ranged_running(by_source, [F.col("source").asc_nulls_last()], {"nth": F.lit(1)}, "mix-sources")
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("nth") - 1) % len(weights) + 1).cast("int"))
+    t = nth.withColumn("w", w).drop("nth").withColumn("cap", F.col("source_size") * F.lit(float(most)))
     t = t.withColumn("full_at", F.col("cap") / F.col("w"))
-    order = Window.orderBy("full_at", F.col("source").asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy(F.lit(1))
-    t = t.withColumn("budget", F.sum("source_size").over(everything) * F.lit(float(share)))
-    t = t.withColumn("level", (F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    t = t.withColumn("nth", F.row_number().over(order))
-    first = F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("nth", "level"))).over(everything)
-    t = t.withColumn("level", first["level"])
-    target = F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap")))
-    return t.select("source", "source_size", target.alias("target"))
+    order = [F.col("full_at"), F.col("source").asc_nulls_last()]
+    t = ordered.ranged_running(t, order, {"nth": F.lit(1), "caps": F.col("cap"), "ws": F.col("w")}, "mix-caps")
+    whole = F.broadcast(t.agg((F.sum("source_size") * F.lit(float(share))).alias("budget"), F.sum("w").alias("all_w")))
+    t = t.crossJoin(whole)  # one row
+    level = (F.col("budget") - (F.col("caps") - F.col("cap"))) / (F.col("all_w") - (F.col("ws") - F.col("w")))
+    t = shared.staged(t.withColumn("level", level), "mix-levels")
+    first = t.agg(F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("nth", "level"))).alias("first"))
+    target = F.least("cap", F.coalesce(F.col("first.level") * F.col("w"), F.col("cap")))
+    return t.crossJoin(F.broadcast(first)).select("source", "source_size", target.alias("target"))  # one row
 
 
 def thresholds(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -125,9 +125,9 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     sized = docs.select(F.col(source_col).alias("source"), shared.words_of(text_col).alias("size"), mix_hash(id_col).alias("h"))
     plan = thresholds(shared.staged(sized, "mix-sizes"), **how)
-    plan = shared.staged(plan.select(F.struct("source", "whole", "below").alias("__mix")), "mix-plan")
-    h = mix_hash(id_col)
-    out = docs.join(shared.small_enough(plan, MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("__mix.source")))
-    times = F.col("__mix.whole") + F.when(h < F.col("__mix.below"), 1).otherwise(0)
-    out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+    mix, copy = shared.fresh(docs.columns, "mix"), shared.fresh(docs.columns, "copy")
+    plan = shared.staged(plan.select(F.struct("source", "whole", "below").alias(mix)), "mix-plan")
+    out = docs.join(shared.small_enough(plan, MAX_BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col(f"{mix}.source")))
+    times = F.col(f"{mix}.whole") + F.when(mix_hash(id_col) < F.col(f"{mix}.below"), 1).otherwise(0)
+    out = out.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
