@@ -5,14 +5,18 @@ its last token falls, so spans hold whole turns. Each span becomes a window: the
 turn, if its role is ``system``), then the latest turns of the window before as far as they fit the history limit and the
 budget, then the span. Loss covers the assistant texts of the span only; repeated turns are masked. A span stays whole
 and may exceed the budget by itself: it holds its first turn and, beside it, less than half of the budget without the system turn, so
-this takes a first turn of more than half of that; ``over_budget`` marks such windows.
+this takes a first turn of more than half of that; ``over_budget`` marks such windows. History takes 256 of 1024 tokens at most, so
+windows of short turns hold up to three quarters of the budget. A system turn near the budget or above leaves room for nothing: then each
+turn is a window of its own, all over budget, and each repeats the system turn.
 
 Texts are never cut. Control strings inside texts are broken by a backslash after their first character; one more is put
 where backslashes stand there already, so :func:`unescape` gives back every text.
 
 Order: turns by number, null last, then role and text. Nulls: a null text or role is empty; rows with a null conversation
 id form one conversation. Repeated rows are turns each. Prefix sums go over blocks of turns first, so a conversation's turns
-needn't meet in one task. An empty table gives an empty result. Only conv_id, turn, role and text are read.
+needn't meet in one task, but turns with one number, or none, are one block, and :func:`read_back` joins a conversation in one row. Texts of
+any length stay whole. An empty table gives an empty result. Only conv_id, turn, role, text and ``tokens_col`` are read, whatever
+other columns are called.
 """
 
 from __future__ import annotations
@@ -55,14 +59,18 @@ def turn_tokens(text: Column, per_turn: int) -> Column:
     return F.regexp_count(text, F.lit(shared.WORD)).cast("long") + per_turn
 
 
-def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256, per_turn: int = 4) -> DataFrame:
+def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256, per_turn: int = 4, tokens_col: str | None = None) -> DataFrame:
     """(conv_id, window, text, loss, context_turns, new_turns, tokens, over_budget), one row per window.
 
+    A turn's tokens are its words plus ``per_turn``, or those of ``tokens_col`` (a vocabulary's counts per row, such as
+    :mod:`.tokens` gives them; null: words) plus ``per_turn``. Words are fewer than a vocabulary's tokens, so a budget in words must leave room.
     ``loss`` holds (start, length) in code points of the escaped assistant texts that count; ``context_turns`` is the number
     of repeated turns at the window's start.
     """
-    t = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
-    t = t.withColumn("tokens", turn_tokens(F.col("body"), per_turn)).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(2**62)))
+    counted = F.col(tokens_col).cast("long") if tokens_col else F.lit(None).cast("long")
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    t = turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), body.alias("body"), counted.alias("counted"))
+    t = t.withColumn("tokens", F.coalesce(F.col("counted") + per_turn, turn_tokens(F.col("body"), per_turn))).drop("counted").withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(2**62)))
     t = t.withColumn("key", F.struct(F.col("turn").isNull().alias("last"), "turn", "role", "body"))
 
     # Per block of turns: what came before it, and the conversation's first turn.
