@@ -6,12 +6,14 @@ largest slot that fits is cut off and the rest is classed again. Each worker fil
 in one pass, so nothing is shuffled or sorted and a worker holds at most one open bin per class. At the end of a worker's
 rows the pieces of its open bins are laid end to end, cut at the capacity; so it leaves one sequence unfilled at most.
 
-Nulls: a null text is the empty text (its ids: the end id alone); a null id stays null. Repeated rows are packed as often
-as they come. An empty table gives an empty result. Only ``id_col`` and ``text_col`` are read.
+Whole texts of any length are packed; a worker holds the ids of one at a time. Nulls: a null text is the empty text (its ids: the
+end id alone); a null id stays null. Repeated rows are packed as often as they come. An empty table gives an empty result. Only
+``id_col`` and ``text_col`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import shared, workers
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 WIDTH = 4  # bytes of an id
@@ -30,12 +32,32 @@ WIDTH = 4  # bytes of an id
 WORKER_SHIFT = 40
 BATCH_ROWS = 20_000
 STOPS = (b".", b",", b";", b":", b"!", b"?")
+#: What a vocabulary file says of its normaliser and its pre-tokens if these don't look beyond white space, which falls out.
+PLAIN_NORMALS = ["NFC", "Replace", "Lowercase"]
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_spaces(config: dict) -> bool:
+    """Whether a vocabulary file (parsed) lower-cases texts and drops white space between pre-tokens of letters, digits and others.
+
+    Then the ids of a text are those of its chunks between white space, and a stop after letters is a pre-token of its own. Nothing is
+    assumed of any other file.
+    """
+    normal, pre = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
+    steps = normal.get("normalizers", [])
+    if [x.get("type") for x in steps] != PLAIN_NORMALS or (steps[1].get("pattern"), steps[1].get("content")) != ({"Regex": r"\s+"}, " "):
+        return False
+    parts = pre.get("pretokenizers", [])
+    if [x.get("type") for x in parts] != ["Split", "ByteLevel"] or parts[1].get("add_prefix_space") or parts[1].get("use_regex"):
+        return False
+    cut = parts[0]
+    return cut.get("pattern") == {"Regex": PLAIN_PATTERN} and cut.get("behavior") == "Removed" and bool(cut.get("invert")) and config.get("post_processor") is None
 
 
 class IdsOfChunk(dict):
     """Bytes of the ids of a chunk without ASCII white space; remembers up to ``limit`` short chunks.
 
-    The vocabulary's pre-tokens never hold white space, so the ids of a text are those of its chunks in order.
+    Only for vocabularies that :func:`splits_at_spaces`: their pre-tokens never hold white space, so the ids of a text are those of its chunks in order.
     """
 
     def __init__(self, tokenizer, limit: int = 500_000, longest: int = 48):
@@ -54,18 +76,33 @@ class IdsOfChunk(dict):
             self[chunk] = out
         return out
 
+    def of_text(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+
 
-#: By tokenizer file; Python workers are used again for later tasks, which so find the chunks of earlier ones.
-_KNOWN: dict[str, IdsOfChunk] = {}
+class IdsOfText:
+    """Bytes of the ids of a whole text, for any vocabulary."""
 
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
 
-def ids_of_chunk(tokenizer_path: str) -> IdsOfChunk:
-    if tokenizer_path not in _KNOWN:
+    def of_text(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def ids_by(tokenizer_path: str) -> IdsOfChunk | IdsOfText:
+    """The worker's way to ids for a vocabulary file."""
+
+    def make() -> IdsOfChunk | IdsOfText:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _KNOWN[tokenizer_path] = IdsOfChunk(Tokenizer.from_file(tokenizer_path))
-    return _KNOWN[tokenizer_path]
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        with open(tokenizer_path, encoding="utf-8") as f:
+            plain = splits_at_spaces(json.load(f))
+        return IdsOfChunk(tokenizer) if plain else IdsOfText(tokenizer)
+
+    return workers.kept(("ids", tokenizer_path), make)
 
 
 def remainder_cuts(length: int, capacity: int, waste: float) -> list[tuple[int, int]]:
@@ -156,16 +193,15 @@ def pack_harmonic(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacit
     shared.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ids_of_chunk(tokenizer_path)
+        ids = ids_by(tokenizer_path)
         end = np.asarray([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId(), capacity, waste)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                chunks = (text.as_py() or "").encode("utf-8", "replace").split()
-                packer.add(doc_id, b"".join(map(ids_of.__getitem__, chunks)) + end)
+                packer.add(doc_id, ids.of_text(text.as_py() or "") + end)
             if len(packer.rows) >= BATCH_ROWS:
                 yield packer.drain()
         packer.finish()
         yield packer.drain()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(workers.tidied(run), SCHEMA)
