@@ -28,6 +28,44 @@ def parse_title(title: Column) -> dict[str, Column]:
     }
 
 
+#: Brands whose backs are printed as "brand series/factory".
+BACKS = [
+    "sweet caporal", "piedmont", "sovereign", "polar bear", "old mill", "hindu", "tolstoi", "american beauty", "carolina brights", "cycle", "broadleaf",
+    "broad leaf", "uzit", "lenox", "drum",
+]
+#: Grades of the four companies that headlines name.
+HEADLINE_GRADES = ["10", "9.5", "9", "8.5", "8", "7.5", "7", "6.5", "6", "5.5", "5", "4.5", "4", "3.5", "3", "2.5", "2", "1.5", "1"]
+
+
+def parse_headline(title: Column) -> Column:
+    """struct(year, code, code_key, serial, print_run, grade) of a sale's title.
+
+    A serial is "12/99" that isn't part of a number or a brand's back ("Piedmont 150/25"); a run without a serial is "/99". Up to three words may stand
+    between company and grade ("SGC NM+ 7.5").
+    """
+    t = F.coalesce(title, F.lit(""))
+    fronts = F.regexp_replace(t, rf"(?i)\b(?:{'|'.join(b.replace(' ', ' +') for b in BACKS)}) +[0-9]{{2,3}} */ *[0-9]{{2,3}}\b", " ")
+    serial = r"(?<![#\w])([0-9]{1,3})\s*/\s*([0-9]{1,4})\b"
+    first, run = scalars.match(fronts, serial), scalars.match(fronts, serial, 2)
+    code = scalars.match(t, r"#\s*([A-Za-z0-9]+(?:-[A-Za-z0-9]+)*)")
+    grades = "|".join(g.replace(".", "[.]") for g in HEADLINE_GRADES)
+    graded = rf"(?i)\b(PSA|BGS|SGC|CGC)\s*(?:[A-Za-z][A-Za-z+\-]*\.?\s+){{0,3}}({grades})(?![0-9.]*[0-9])"
+    company = scalars.match(t, graded)
+    return F.struct(
+        scalars.match(t, r"\b(19[0-9]{2}|20[0-4][0-9])(?:[-/][0-9]{2})?\b").try_cast("int").alias("year"), code.alias("code"), scalars.number_key_plain(code).alias("code_key"),
+        F.when(first.isNotNull(), F.concat_ws("/", first, run)).alias("serial"),
+        F.coalesce(run, F.when(first.isNull(), scalars.match(fronts, r"/\s*([0-9]{1,4})\b"))).try_cast("int").alias("print_run"),
+        F.when(company.isNotNull(), F.concat_ws(" ", F.upper(company), scalars.match(t, graded, 2))).alias("grade"),
+    )
+
+
+def name_windows(title: Column) -> Column:
+    """Folded runs of two or three adjacent words that begin with a capital: what may be a player's name."""
+    words = F.regexp_extract_all(F.coalesce(title, F.lit("")), F.lit("[A-Za-z][A-Za-z.'-]*"), F.lit(0))
+    capital = F.transform(F.filter(words, lambda w: w.rlike("^[A-Z]")), lambda w: F.regexp_replace(F.lower(w), "[^a-z0-9]", ""))
+    return scalars.once(capital, lambda w: F.array_distinct(F.concat(scalars.windows(w, 2, ""), scalars.windows(w, 3, ""))))
+
+
 def grade_label(grader: Column, grade: Column) -> Column:
     return F.when(grader.isNull(), "Ungraded").when(grade.isNull(), grader).otherwise(F.concat_ws(" ", grader, F.regexp_replace(grade.cast("string"), r"\.0$", "")))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cards, categories, listings, rules, scalars
-from ..operators import canonical, mappers, monitor, sales, sharding, states
+from ..operators import canonical, ledger, linking, mappers, monitor, sales, sharding, states
 from ..streaming import incremental
 from .registry import query, table
 
@@ -401,3 +401,69 @@ SELECT event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM seen) AN
 def unseen_feed_items(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("timestamp_ntz")).alias("at"))
     return incremental.unseen_items(e, "event_id", "at", F.lit("2024-01-10").cast("timestamp_ntz"), e.filter("event_id % 5 = 0")).select("event_id")
+
+
+# --- published catalogs -----------------------------------------------------------------------------------------------
+_HEAD = "(1950 + o_orderkey % 90) || ' ' || " + _case("o_orderkey", ["Topps Ann Lee #7 PSA 10", "T206 Piedmont 150/25 SGC EX 5", "Prizm #BD-50 12/25 BGS GEM MINT 9.5", "Finest #78 /99", "Goudey no number", "Fleer # 12 psa"])
+
+
+@query(rf"""
+WITH t AS (SELECT o_orderkey, {_HEAD} AS t FROM orders), b AS (SELECT *, regexp_replace(t, 'Piedmont 150/25', ' ') AS f FROM t)
+SELECT o_orderkey, try_cast(nullif(regexp_extract(t, '\b(19[0-9]{{2}}|20[0-4][0-9])\b', 1), '') AS INTEGER) AS year, nullif(regexp_extract(t, '#\s*([A-Za-z0-9]+(?:-[A-Za-z0-9]+)*)', 1), '') AS code,
+  nullif(regexp_extract(f, ' ([0-9]+/[0-9]+)\b', 1), '') AS serial, try_cast(nullif(regexp_extract(f, '/([0-9]+)\b', 1), '') AS INTEGER) AS print_run,
+  CASE WHEN regexp_matches(t, '(PSA|SGC|BGS) .*[0-9]') THEN regexp_extract(t, '(PSA|SGC|BGS)', 1) || ' ' || regexp_extract(t, '(?:PSA|SGC|BGS) [A-Za-z ]*([0-9.]+)', 1) END AS grade FROM b
+""")
+def headline_titles(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "orders").select("o_orderkey", linking.parse_headline(_spark(_HEAD)).alias("p"))
+    return t.select("o_orderkey", "p.year", "p.code", "p.serial", "p.print_run", "p.grade")
+
+
+_ADDRESS = "CASE p_partkey % 5 WHEN 0 THEN 'baseball' WHEN 1 THEN 'hockey' WHEN 2 THEN 'ufc' WHEN 3 THEN 'chess' ELSE 'golf' END || CASE WHEN p_partkey % 7 = 0 THEN '-set-' ELSE '-cards-' END || '2020-x' || (p_partkey % 9) || '/ann-' || p_partkey"
+
+
+@query(f"""
+WITH s AS (SELECT p_partkey, {_ADDRESS} AS s FROM part), h AS (SELECT p_partkey, split_part(s, '/', 1) AS h FROM s)
+SELECT p_partkey, CASE WHEN contains(h, '-cards-') THEN 'scp:' || CASE split_part(h, '-cards-', 1) WHEN 'baseball' THEN 'bb' WHEN 'hockey' THEN 'hk' WHEN 'ufc' THEN 'ufc' WHEN 'golf' THEN 'gf' END || ':' || split_part(h, '-cards-', 2) END AS set_id FROM h
+""")
+def set_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", ledger.set_id(_spark(_ADDRESS)).alias("set_id"))
+
+
+@query("""
+SELECT o_orderkey FROM orders WHERE o_totalprice >= 100000 AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderstatus IN ('F', 'O') AND NOT coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 2 = 0 END, false)
+  AND coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 'https://h/buy-now/' || o_orderkey END, CASE WHEN o_orderkey % 7 = 0 THEN 'https://h/buy-now/x' END, '') NOT LIKE '%/buy-now/%'
+""")
+def collected_sales(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(
+        k, F.col("o_totalprice").alias("sold_price"), F.col("o_orderdate").cast("date").alias("sold_date"), F.col("o_orderstatus").alias("source_code"), F.when(k % 3 == 0, k % 2 == 0).alias("best_offer"),
+        F.when(k % 5 == 0, F.concat(F.lit("https://h/buy-now/"), k)).alias("canonical_source_url"), F.when(k % 7 == 0, "https://h/buy-now/x").alias("source_url"),
+    )
+    return ledger.collect_sales(rows, ["F", "O"], 100000, "1995-01-01").select("o_orderkey")
+
+
+@query("""
+WITH n AS (SELECT o_orderstatus, o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority ORDER BY o_orderkey) AS rn FROM orders)
+SELECT o_orderstatus, o_orderpriority, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_orderkey) FILTER (rn <= 6) AS examples FROM n GROUP BY ALL
+""")
+def outcome_examples(spark: SparkSession, d: str) -> DataFrame:
+    out = ledger.outcomes(table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"], "o_orderkey")
+    return out.withColumn("examples", F.array_join("examples", ","))
+
+
+@query("""
+WITH w AS (SELECT o_orderkey AS id, o_custkey % 40 AS c FROM orders WHERE o_orderkey % 3 <> 0), h AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN (o_custkey + 1) % 40 ELSE o_custkey % 40 END AS c, o_orderkey % 11 <> 0 AS p FROM orders WHERE o_orderkey % 4 <> 0),
+j AS (SELECT coalesce(w.id, h.id) AS id, w.id IS NOT NULL AS wanted, h.id IS NOT NULL AS there, w.c AS n, h.c AS o, p FROM w FULL JOIN h ON w.id = h.id)
+SELECT 'insert' AS action, id FROM j WHERE NOT there UNION ALL SELECT 'move', id FROM j WHERE wanted AND there AND n <> o UNION ALL SELECT 'retract', id FROM j WHERE NOT wanted AND p UNION ALL SELECT 'republish', id FROM j WHERE wanted AND there AND NOT p
+UNION ALL SELECT 'add', c FROM (SELECT DISTINCT c FROM w) WHERE c NOT IN (SELECT x FROM range(30) t(x)) UNION ALL SELECT 'restore', x FROM range(30) t(x) WHERE x % 4 = 0 AND x % 2 = 0
+UNION ALL SELECT 'withdraw', x FROM range(30) t(x) WHERE x % 4 <> 0 AND x % 2 = 1 AND x NOT IN (SELECT c FROM w) UNION ALL SELECT 'number_key', x FROM range(30) t(x) WHERE x % 3 = 0
+""")
+def published_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as sales of forty cards, thirty of them published, every other on the checklist."""
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").select(k.cast("string").alias("sale_id"), (F.col("o_custkey") % 40).cast("string").alias("card_id"), k, "o_custkey")
+    have = o.filter(k % 4 != 0).select("sale_id", F.when(k % 5 == 0, ((F.col("o_custkey") + 1) % 40).cast("string")).otherwise(F.col("card_id")).alias("card_id"), (k % 11 != 0).alias("published"))
+    i = F.col("id")
+    cards_ = spark.range(30).select(i.cast("string").alias("card_id"), (i % 4 != 0).alias("visible"), F.concat(F.lit("0"), i).alias("number"), F.when(i % 3 == 0, "x").otherwise(i.cast("string")).alias("number_key"))
+    plan = ledger.catalog_plan(cards_, spark.range(0, 30, 2).select(i.cast("string").alias("card_id")), o.filter(k % 3 != 0).select("sale_id", "card_id"), have, scalars.number_key)
+    return plan.filter("action <> 'redirect'").select("action", F.col("id").cast("long").alias("id"))

@@ -131,3 +131,61 @@ def test_backing_is_independent(spark):
     df = spark.createDataFrame(rows, "sale_id string, card_id string, grade string, price double, venue string")
     out = {r.sale_id: (r.level, r.backed) for r in sales.backed(df, df).collect()}
     assert out == {"WEEKLY1": (None, False), "WEEKLY2": (None, False), "s3": (1, False), "s4": (1, True), "s5": (None, False)}
+
+
+def test_headlines(spark):
+    from lotweave.operators import linking
+
+    cases = [
+        ("2003-04 Exquisite LeBron James #78 /99 BGS NM-MT+ 8.5", (2003, "78", "78", None, 99, "BGS 8.5")), ("1909 T206 Cobb Piedmont 150/25 SGC EX 5", (1909, None, None, None, None, "SGC 5")),
+        ("2020 Prizm #BD-50 12/25 PSA GEM MINT 10", (2020, "BD-50", "bd50", "12/25", 25, "PSA 10")), ("Card #7 1/1", (None, "7", "7", "1/1", 1, None)), (None, (None,) * 6), ("PSA 10.5", (None,) * 6),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, t string")
+    out = {r.i: tuple(r.p) for r in df.select("i", linking.parse_headline(F.col("t")).alias("p")).collect()}
+    assert out == {i: c[1] for i, c in enumerate(cases)}
+    names = df.select(linking.name_windows(F.lit("1986 Fleer Michael Jordan rookie O'Neal")).alias("n")).first().n
+    assert names == ["fleermichael", "michaeljordan", "jordanoneal", "fleermichaeljordan", "michaeljordanoneal"]
+
+
+def test_catalog_plan(spark):
+    from lotweave.functions import scalars
+    from lotweave.operators import ledger, reconcile
+
+    cards_ = spark.createDataFrame([("a", True, "01", "1"), ("b", True, None, None), ("c", False, "X-2", "bad"), ("d", True, "", "z"), ("e", True, None, None)], "card_id string, visible boolean, number string, number_key string")
+    checklist = spark.createDataFrame([("c",), ("a",)], "card_id string")
+    want = spark.createDataFrame([("s1", "a"), ("s2", "a"), ("s3", "n"), ("s4", "a")], "sale_id string, card_id string")
+    have = spark.createDataFrame([("s1", "a", False), ("s2", "b", True), ("s4", "d", True), ("s5", "d", True), ("s6", "e", False)], "sale_id string, card_id string, published boolean")
+    plan = ledger.catalog_plan(cards_, checklist, want, have, scalars.number_key)
+    assert sorted((r.kind, r.action, r.id, r.new) for r in plan.collect() if r.action not in ("move",)) == [
+        ("card", "add", "n", None), ("card", "number_key", "c", "x2"), ("card", "redirect", "b", "a"), ("card", "restore", "c", None), ("card", "withdraw", "b", None), ("card", "withdraw", "d", None),
+        ("card", "withdraw", "e", None), ("sale", "insert", "s3", "n"), ("sale", "republish", "s1", "a"), ("sale", "retract", "s5", None),
+    ]
+    assert sorted((r.id, r.old, r.new) for r in plan.filter("action = 'move'").collect()) == [("s2", "b", "a"), ("s4", "d", "a")]
+    old = spark.createDataFrame([("a", "A", "m1"), ("b", "B", None), ("z", "Z", "m9")], "card_id string, name string, minted_id string")
+    new = spark.createDataFrame([("a", "A2", "other"), ("n", "N", "m2")], "card_id string, name string, minted_id string")
+    kept, links = ledger.replace_links(old, new, spark.createDataFrame([("t1", "a"), ("t2", "b")], "id string, card_id string"))
+    assert sorted(map(tuple, kept.collect())) == [("a", "A2", "m1"), ("n", "N", "m2"), ("z", "Z", "m9")] and [r.id for r in links.collect()] == ["t1"]
+    image = ledger.before_image(old, spark.createDataFrame([("a",)], "card_id string"), "card_id")
+    assert reconcile.same_rows(reconcile.revert(kept.filter("card_id = 'a'"), image, "card_id"), image)
+    audit = spark.createDataFrame([("a", "A", "A2"), ("n", "old", "N1"), ("z", "Z", "Z")], "card_id string, name string, after string")
+    assert [tuple(r) for r in ledger.to_revert(audit, kept, "card_id", "name").collect()] == [("a", "A")]
+
+
+def test_index_outcomes_and_hosts(spark, tmp_path):
+    import pytest
+
+    from lotweave.operators import ledger
+
+    with pytest.raises(FileNotFoundError):
+        ledger.ensure_index(spark, f"{tmp_path}/none", f"{tmp_path}/i", ["k"], "at")
+    spark.createDataFrame([(1, 5), (1, 3), (None, 2)], "k int, at int").write.parquet(f"{tmp_path}/lake")
+    assert sorted(map(str, ledger.ensure_index(spark, f"{tmp_path}/lake", f"{tmp_path}/i", ["k"], "at").collect())) == ["Row(k=1, at=3)", "Row(k=None, at=2)"]
+    spark.createDataFrame([(9, 9)], "k int, at int").write.mode("append").parquet(f"{tmp_path}/lake")
+    assert ledger.ensure_index(spark, f"{tmp_path}/lake", f"{tmp_path}/i", ["k"], "at").count() == 2 and ledger.ensure_index(spark, f"{tmp_path}/lake", f"{tmp_path}/i", ["k"], "at", True).count() == 3
+    rows = spark.range(20).select(F.when(F.col("id") % 2 == 0, "even").alias("why"), "id")
+    assert {r.why: (r.n, r.examples) for r in ledger.outcomes(rows, ["why"], "id", 2).collect()} == {"even": (10, [0, 2]), None: (10, [1, 3])}
+    pics = spark.createDataFrame([("http://Dead.host/a", "1"), ("http://ok/b", "2"), (None, "3"), ("http://ok/c", "4")], "url string, key string")
+    assert sorted(r.key for r in ledger.without_hosts(pics, "url", ["dead.host"], spark.createDataFrame([("4",)], "key string")).collect()) == ["2", "3"]
+    ids = spark.createDataFrame([("baseball-cards-2020-topps/x-1",), ("chess-cards-2020-a/x-1",), ("no-address",)], "s string").select(ledger.set_id(F.col("s")).alias("i")).collect()
+    assert [r.i for r in ids] == ["scp:bb:2020-topps", None, None]
+    assert [tuple(r) for r in ledger.best_company_count(spark.createDataFrame([("a", "PSA 9"), ("a", "psa"), ("a", "none"), ("a", "BGS")], "i string, t string"), "i", F.col("t")).collect()] == [("a", 2)]
