@@ -11,9 +11,9 @@ _SHIFT = np.uint64(33)
 
 
 class WordHashes(dict):
-    """Remembers the 64-bit hash of up to ``limit`` words; further words are hashed each time."""
+    """Remembers the 64-bit hash of up to ``limit`` words of 40 bytes at most; other words are hashed each time."""
 
-    def __init__(self, limit: int = 250_000):
+    def __init__(self, limit: int = 30_000):
         super().__init__()
         self.limit = limit
 
@@ -24,10 +24,6 @@ class WordHashes(dict):
         return value
 
 
-#: Python workers are used again for later tasks, which so find the words of earlier ones.
-WORDS = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Murmur's 64-bit finaliser."""
     x = (x ^ (x >> _SHIFT)) * _MIX1
