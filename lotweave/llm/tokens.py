@@ -4,13 +4,16 @@ The pieces of each distinct pre-token are counted once, in a table (pre-token, p
 of pre-tokens, which are joined to that table and summed. A bounded head of frequent pre-tokens is joined by broadcast
 within the scan; only what is left, rare pre-tokens with the row's number and frequency, goes through a shuffled join.
 
-Nulls: a null text is the empty text (0 bytes, 0 tokens); a null id stays null. Repeated rows are counted each, since the
-join runs on a row number of its own. An empty table gives an empty result. Only ``id_col`` and ``text_col`` are read.
+Texts of any length go through whole; a text without spaces is one chunk, which is taken apart and not held. Nulls: a null text
+is the empty text (0 bytes, 0 tokens); a null id stays null. Repeated rows are counted each, since the join runs on a row number
+of its own. An empty table gives an empty result. Only ``id_col`` and ``text_col`` are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,21 +23,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import shared, workers
 
 #: Fixed value: the pre-token pattern of the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens in the broadcast head at most, and bytes of the longest one there: together they bound its size.
 HEAD, HEAD_BYTES = 300_000, 32
-#: Distinct chunks that a worker holds before it passes their pre-tokens' frequencies on, or remembers.
-FLUSH = 250_000
+#: Distinct chunks that a worker holds before it passes their pre-tokens' frequencies on, or remembers, and characters of the longest one
+#: held. Longer chunks are taken apart at once, so a table is bounded in bytes whatever the texts are.
+FLUSH, LONGEST = 250_000, 32
+#: Characters of pre-tokens from long chunks that a worker holds before it passes their frequencies on.
+FLUSH_CHARS = 8 << 20
+
+
+#: A space before anything but white space. Python knows a few more kinds of that than the pattern does: such texts are split less.
+_GAP = re.compile(r" (?=\S)")
 
 
 class PreTokens:
-    """Splits texts at spaces first: a chunk with its leading space falls into the same pre-tokens wherever it stands.
+    """Splits texts first before each single space that a character other than white space follows: pre-tokens start there, whatever
+    comes before, and what comes before falls into the same pre-tokens without the rest.
 
-    That holds as long as no two spaces are adjacent; other texts go through the pattern whole. Special strings stand apart
-    and count as one token each, as the vocabulary's library has them.
+    Special strings stand apart and count as one token each, as the vocabulary's library has them.
     """
 
     def __init__(self, special: list[str]):
@@ -48,37 +58,33 @@ class PreTokens:
         return len(parts) - 1, parts
 
     def chunks(self, text: str) -> list[str]:
-        if "  " in text:
-            return [text]
-        first, *more = text.split(" ")
+        plain = "  " not in text and text.isprintable()  # single spaces are the only white space
+        first, *more = text.split(" ") if plain else _GAP.split(text)
         return [first, *(" " + x for x in more)]
 
 
 class Chunks(dict):
-    """(pieces of the pre-tokens in the head, the other pre-tokens) of a chunk."""
+    """Pieces of a chunk whose pre-tokens are all in the head; the pre-tokens that aren't, of chunks looked up since, gather in ``tail``."""
 
     def __init__(self, pieces_of: dict[str, int], split: PreTokens):
         super().__init__()
         self.pieces_of, self.split = pieces_of, split
+        self.tail: list[str] = []
 
-    def __missing__(self, chunk: str) -> tuple[int, tuple[str, ...]]:
+    def __missing__(self, chunk: str) -> int:
         tokens = self.split.find(chunk)
-        out = sum(self.pieces_of.get(t, 0) for t in tokens), tuple(t for t in tokens if t not in self.pieces_of)
-        if len(self) < FLUSH and len(chunk) <= 32:
+        others = [t for t in tokens if t not in self.pieces_of]
+        out = sum(self.pieces_of.get(t, 0) for t in tokens)
+        if others:
+            self.tail += others
+        elif len(self) < FLUSH and len(chunk) <= LONGEST:
             self[chunk] = out
         return out
 
 
-#: The chunks of the broadcast table last used; Python workers are used again for later tasks.
-_LAST: dict = {}
-
-
 def _chunks(known, split: PreTokens) -> Chunks:
-    head = known.value
-    if _LAST.get("head") is not head:
-        _LAST.clear()
-        _LAST.update(head=head, chunks=Chunks(dict(zip(*head, strict=True)), split))
-    return _LAST["chunks"]
+    """The worker's table for a broadcast head."""
+    return workers.kept(("chunks", known.value[2]), lambda: Chunks(dict(zip(*known.value[:2], strict=True)), split))
 
 
 def special_strings(tokenizer) -> list[str]:
@@ -96,23 +102,36 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -
     """(token, freq, pieces): each distinct pre-token of all texts, how often it comes, and its number of pieces."""
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workers.drop()
         split = PreTokens(special_strings(_load(tokenizer_path)))
         chunks: Counter = Counter()
+        found: Counter = Counter()
+        held = 0
 
         def flush() -> pa.RecordBatch:
-            found: Counter = Counter()
             for chunk, n in chunks.items():
                 for token in split.find(chunk):
                     found[token] += n
+            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["token", "n"])
             chunks.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["token", "n"])
+            found.clear()
+            return out
 
         for batch in batches:
             for text in batch.column(0):
                 for segment in split.segments(text.as_py() or "")[1]:
-                    chunks.update(split.chunks(segment))
-                if len(chunks) >= FLUSH:
+                    parts = split.chunks(segment)
+                    if len(max(parts, key=len)) > LONGEST:
+                        for part in parts:
+                            if len(part) > LONGEST:
+                                tokens = split.find(part)
+                                held += len(part)
+                                found.update(tokens)
+                        parts = [x for x in parts if len(x) <= LONGEST]
+                    chunks.update(parts)
+                if len(chunks) >= FLUSH or held >= FLUSH_CHARS:
                     yield flush()
+                    held = 0
         yield flush()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +141,12 @@ def piece_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -
             tokens = batch.column(0).to_pylist()
             n: list[int] = []
             for at in range(0, len(tokens), 2000):
-                n += [len(e.ids) for e in tokenizer.encode_batch(tokens[at : at + 2000], add_special_tokens=False)]
+                n += [len(e.ids) for e in tokenizer.encode_batch_fast(tokens[at : at + 2000], add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int32())], ["token", "freq", "pieces"])
 
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(seen, "token string, n long")
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(workers.tidied(seen), "token string, n long")
     found = found.groupBy("token").agg(F.sum("n").alias("freq"))
-    return shared.staged(found.mapInArrow(pieces, "token string, freq long, pieces int"), "token-pieces")
+    return shared.staged(found.mapInArrow(workers.tidied(pieces), "token string, freq long, pieces int"), "token-pieces")
 
 
 def _head(pieces: DataFrame, size: int) -> pa.Table:
@@ -147,9 +166,10 @@ def _head(pieces: DataFrame, size: int) -> pa.Table:
 def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens) for every row of ``docs``. ``tokenizer_path`` must exist on every worker."""
     spark = docs.sparkSession
+    shared.small_batches(spark)
     pieces = piece_counts(docs, tokenizer_path, text_col)
     top = _head(pieces, head)
-    known = spark.sparkContext.broadcast((top.column(0).to_pylist(), top.column(1).to_pylist()))
+    known = spark.sparkContext.broadcast((top.column(0).to_pylist(), top.column(1).to_pylist(), uuid.uuid4().hex))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = PreTokens(special_strings(_load(tokenizer_path)))
@@ -161,13 +181,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD, id_col:
             for value in batch.column(1):
                 text = value.as_py() or ""
                 total, segments = split.segments(text)
-                tail: list[str] = []
+                chunks.tail = []
                 for segment in segments:
-                    for n, others in map(chunks.__getitem__, split.chunks(segment)):
-                        total += n
-                        if others:
-                            tail += others
-                freq = Counter(tail)
+                    total += sum(map(chunks.__getitem__, split.chunks(segment)))
+                freq = Counter(chunks.tail)
                 rows.append(row)
                 n_bytes.append(len(text.encode("utf-8", "replace")))
                 sums.append(total)
@@ -178,7 +195,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, head: int = HEAD, id_col:
             yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_bytes", "n", "tokens", "times"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = shared.staged(source.mapInArrow(frequencies, "row long, doc_id long, n_bytes long, n long, tokens array<string>, times array<int>"), "token-frequencies")
+    rows = shared.staged(source.mapInArrow(workers.tidied(frequencies), "row long, doc_id long, n_bytes long, n long, tokens array<string>, times array<int>"), "token-frequencies")
     tail = rows.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t")).select("row", F.col("t.tokens").alias("token"), F.col("t.times").alias("times"))
     more = tail.join(pieces.select("token", "pieces"), "token").groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("more"))
     out = rows.select("row", "doc_id", "n_bytes", "n").join(more, "row", "left")
