@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, scalars
-from ..operators import canonical
+from ..operators import canonical, linking, mappers
 from ..sources import readers
 from .registry import query, table
 
@@ -108,10 +108,87 @@ WITH t AS (SELECT o_orderkey, (1950 + o_orderkey % 70) || ' Topps #' || (o_order
 SELECT o_orderkey, (1950 + o_orderkey % 70)::INTEGER AS year, (o_orderkey % 500)::VARCHAR AS number, (o_orderkey % 90 + 1)::INTEGER AS serial, 99 AS print_run, 'PSA ' || (o_orderkey % 10 + 1) AS grade FROM t
 """)
 def title_parsing(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators import linking
-
     k = F.col("o_orderkey")
     title = F.concat((k % 70 + 1950).cast("string"), F.lit(" Topps #"), (k % 500).cast("string"), F.lit(" PSA "), (k % 10 + 1).cast("string"), F.lit(" "), (k % 90 + 1).cast("string"), F.lit("/99"))
     t = table(spark, d, "orders").select("o_orderkey", title.alias("title"))
     p = linking.parse_title(F.col("title"))
     return t.select("o_orderkey", p["year"].alias("year"), p["number"].alias("number"), p["serial"].alias("serial"), p["print_run"].alias("print_run"), linking.grade_label(p["grader"], p["grade"]).alias("grade"))
+
+
+# --- texts in many spellings, read by either engine's own functions ------------------------------------------------------
+_PRICES = "CASE o_orderkey % 9 WHEN 0 THEN '$1,234.50' WHEN 1 THEN '70.0 to 80.0' WHEN 2 THEN '-$5' WHEN 3 THEN '' WHEN 4 THEN 'free' WHEN 5 THEN 'US $12.3' WHEN 6 THEN '$ 1 000' WHEN 7 THEN '.5' ELSE '£' || o_totalprice END"
+
+
+@query(rf"SELECT o_orderkey, try_cast(nullif(regexp_extract(regexp_replace({_PRICES}, '[$,\s]', '', 'g'), '-?[0-9]+(\.[0-9]+)?'), '') AS DOUBLE) AS price FROM orders")
+def parsed_prices(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", scalars.price(F.expr(_PRICES)).alias("price"))
+
+
+_AMOUNTS = "CASE o_orderkey % 7 WHEN 0 THEN 'est. $5, sold for $1.5 million' WHEN 1 THEN '$2k then $ 3,000' WHEN 2 THEN 'no amount' WHEN 3 THEN '$7B!' WHEN 4 THEN '$12.75 m' WHEN 5 THEN 'from $9 up' ELSE 'Sold: $' || o_custkey || '.50' END"
+
+
+@query(rf"""
+WITH t AS (SELECT o_orderkey, list_last(regexp_extract_all(lower({_AMOUNTS}), '\$\s*([0-9][0-9,]*(?:\.[0-9]+)?\s*(?:million|billion|k|m|b)?)', 1)) AS a FROM orders)
+SELECT o_orderkey, try_cast(replace(regexp_extract(a, '[0-9][0-9,]*(?:\.[0-9]+)?'), ',', '') AS DOUBLE) * CASE trim(regexp_replace(a, '[0-9.,]', '', 'g')) WHEN 'k' THEN 1000.0 WHEN 'm' THEN 1000000.0 WHEN 'million' THEN 1000000.0 WHEN 'b' THEN 1000000000.0 WHEN 'billion' THEN 1000000000.0 ELSE 1.0 END AS money FROM t
+""")
+def parsed_amounts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", scalars.last_money(F.expr(_AMOUNTS)).alias("money"))
+
+
+_DAYS = ["'Sold ' || {m} ", "{M} ", "'ended: ' || {m} ", "{iso} ", "{iso} || 'T10:00:00Z' ", "{us} ", "'soon' "]
+
+
+def _days(short: str, long: str, iso: str, us: str) -> str:
+    return "CASE o_orderkey % 7 " + " ".join(f"WHEN {i} THEN {t.format(m=short, M=long, iso=iso, us=us)}" for i, t in enumerate(_DAYS)) + "END"
+
+
+_SQL_DAYS = _days("strftime(o_orderdate, '%b %-d, %Y')", "strftime(o_orderdate, '%B %-d, %Y')", "strftime(o_orderdate, '%Y-%m-%d')", "strftime(o_orderdate, '%-m/%-d/%Y')")
+_SPARK_DAYS = _days("date_format(o_orderdate, 'MMM d, yyyy')", "date_format(o_orderdate, 'MMMM d, yyyy')", "date_format(o_orderdate, 'yyyy-MM-dd')", "date_format(o_orderdate, 'M/d/yyyy')")
+
+
+@query(rf"""
+WITH t AS (SELECT o_orderkey, {_SQL_DAYS} AS t FROM orders), p AS (SELECT *, trim(regexp_replace(t, '^\s*(sold|ended)\s*:?\s*', '', 'i')) AS p FROM t)
+SELECT o_orderkey, coalesce(try_strptime(p, ['%b %d, %Y', '%B %d, %Y'])::DATE, CASE WHEN regexp_matches(p, '^\d{{4}}-\d{{2}}-\d{{2}}') THEN try_cast(p[1:10] AS DATE) END)::VARCHAR AS sold, try_strptime(nullif(regexp_extract(t, '\d{{1,2}}/\d{{1,2}}/\d{{4}}'), ''), '%m/%d/%Y')::DATE::VARCHAR AS us FROM p
+""")
+def parsed_days(spark: SparkSession, d: str) -> DataFrame:
+    t = F.expr(_SPARK_DAYS)
+    return table(spark, d, "orders").select("o_orderkey", scalars.sold_date(t).cast("string").alias("sold"), scalars.us_date(t).cast("string").alias("us"))
+
+
+@query(r"""
+SELECT page_id, 'https://' || lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#:]+)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]+([^?#]*)', 1), '/+$', '') AS canonical,
+  nullif(regexp_replace(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]+[^?#]*)', 1), '/+$', ''), '') AS plain FROM pages
+""")
+def address_forms(spark: SparkSession, d: str) -> DataFrame:
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", scalars.canonical_url(u).alias("canonical"), mappers.plain_url(u).alias("plain"))
+
+
+@query(r"""
+WITH s AS (SELECT p_partkey, trim(regexp_replace(lower(p_name || ' No.' || p_size), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM part)
+SELECT p_partkey, array_to_string(list_transform(string_split(s, '-'), lambda w: upper(w[1]) || w[2:]), ' ') AS words, regexp_replace(lower('0' || p_partkey || '-A'), '[^a-z0-9]', '', 'g')[2:] AS number_key,
+  CASE WHEN p_partkey % 2 = 0 THEN 'c' || p_partkey ELSE 'c' || p_partkey END AS family FROM s JOIN part USING (p_partkey)
+""")
+def names_and_keys(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    s = scalars.slug(F.concat("p_name", F.lit(" No."), "p_size"))
+    card = F.concat(F.lit("c"), k, F.when(k % 2 == 0, "~gold").otherwise(""))
+    return table(spark, d, "part").select("p_partkey", scalars.words_from_slug(s).alias("words"), F.regexp_replace(scalars.number_key_plain(F.concat(F.lit("0"), k, F.lit("-A"))), "^0", "").alias("number_key"), linking.family(card).alias("family"))
+
+
+@query("""
+SELECT o_orderkey, round((o_totalprice * (1 + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 20 END / 100.0::DOUBLE))::DECIMAL(28,6), 2)::DOUBLE AS paid, date_diff('second', o_orderdate, TIMESTAMP '2001-01-01') / 3600.0::DOUBLE AS age,
+  CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority ELSE 'unknown' END AS lane FROM orders
+""")
+def premiums_ages_and_stamps(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").withColumn("lane", F.when(k % 4 == 0, F.col("o_orderpriority")).when(k % 4 == 1, " "))
+    paid = scalars.with_premium(F.col("o_totalprice"), F.when(k % 3 != 0, 20.0)).cast("double")
+    age = scalars.age_hours(F.col("o_orderdate").cast("timestamp"), F.lit("2001-01-01").cast("timestamp"))
+    return canonical.stamp(o, lane="unknown").select("o_orderkey", paid.alias("paid"), age.alias("age"), "lane")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 6 = 0 OR ts >= TIMESTAMP '2024-01-20'")
+def rows_from_mark(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 6 != 0, F.col("ts").cast("timestamp_ntz")).alias("at"))
+    return readers.read_after(e, "at", F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id")
