@@ -135,6 +135,12 @@ def insert_counts(batch: DataFrame, table: DataFrame, keys: Sequence[str], valid
     return both.agg(fresh.alias("n_new"), (total(F.col("__v")) - fresh).alias("n_existing"), total(~F.col("__v")).alias("n_bad"))
 
 
+def split_valid(batch: DataFrame, checks: Sequence[tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): rows without a fault, and those with one, each with the names of all its ``faults``, for a table of their own."""
+    marked = batch.withColumn("faults", rules.all_reasons([(F.coalesce(c, F.lit(True)), n) for c, n in checks]))
+    return marked.filter(F.size("faults") == 0).drop("faults"), marked.filter(F.size("faults") > 0)
+
+
 def without_seen(rows: DataFrame, row_key: str, keys: Column, seen: DataFrame) -> DataFrame:
     """``rows`` none of whose keys (an array) is in ``seen`` (key)."""
     each = rows.select(F.col(row_key).alias("__r"), F.explode(keys).alias("__k"))

@@ -82,16 +82,16 @@ def assign(rows: DataFrame, library: DataFrame, sets: DataFrame, parallels: Sequ
     of_number = full.join(prefixes, F.regexp_extract("number", "^([a-z]+)-", 1) == F.col("prefix")).select("rid", "set_slug", F.lit(1).alias("by_prefix"))
     base = of_title.unionByName(of_number).groupBy("rid", "set_slug").agg(F.max("by_prefix").alias("by_prefix"))
     direct = base.select("rid", F.col("set_slug").alias("base"), "set_slug", F.when(F.col("by_prefix") == 1, 0.9).otherwise(1.0).alias("support"), "by_prefix")
-    # Families: sets that begin or end with the title's set, met through the first and the last word that both must share.
-    known = library.select("set_slug").distinct().withColumn("w", F.split("set_slug", "-"))
-    ends = lambda df, w: df.withColumn("end", F.explode(F.array_distinct(F.array(F.element_at(w, 1), F.element_at(w, -1)))))
-    family = ends(base.withColumn("bw", F.split("set_slug", "-")).withColumnRenamed("set_slug", "base"), F.col("bw")).join(ends(known, F.col("w")), "end").drop("end").distinct()
+    # Families: sets that begin or end with another set, found once for each pair of sets, through the first and the last word that both must share.
+    known = library.select("set_slug").distinct()
+    ends = lambda df, c: df.withColumn("w", F.split(c, "-")).withColumn("end", F.explode(F.array_distinct(F.array(F.element_at("w", 1), F.element_at("w", -1)))))
+    of_base = ends(base.select(F.col("set_slug").alias("base")).distinct(), "base").select("base", F.col("w").alias("bw"), "end")
     b, s = F.col("base"), F.col("set_slug")
     related = s.startswith(F.concat(b, F.lit("-"))) | b.startswith(F.concat(s, F.lit("-"))) | s.endswith(F.concat(F.lit("-"), b)) | b.endswith(F.concat(F.lit("-"), s))
-    family = family.filter((b != s) & related).join(t.select("rid", F.col("words").alias("tw")), "rid")
-    extra = F.array_except("w", "bw")
-    support = F.size(F.array_intersect(extra, "tw")) / F.greatest(F.size(extra), F.lit(1))
-    family = family.select("rid", "base", "set_slug", support.alias("support"), F.lit(0).alias("by_prefix"))
+    pairs = of_base.join(ends(known, "set_slug"), "end").filter((b != s) & related).select("base", "set_slug", F.array_except("w", "bw").alias("extra")).distinct()
+    of_row = base.select("rid", F.col("set_slug").alias("base")).join(t.select("rid", F.col("words").alias("tw")), "rid")
+    support = F.size(F.array_intersect("extra", "tw")) / F.greatest(F.size("extra"), F.lit(1))
+    family = of_row.join(pairs, "base").select("rid", "base", "set_slug", support.alias("support"), F.lit(0).alias("by_prefix"))
     wanted = direct.unionByName(family).groupBy("rid", "set_slug").agg(F.max("support").alias("support"), F.max("by_prefix").alias("by_prefix"))
 
     keys = full.select("rid", F.explode(F.array(F.col("year"), (F.col("year").cast("int") - 1).cast("string"))).alias("y"), "year", "number", "words", "wants_auto", "set_name")

@@ -17,7 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cards, rules, scalars
+from ..staging import small_enough
 
+#: Sets, sections and checklists are broadcast up to so many rows.
+MAX_BROADCAST_SETS = 100_000
 #: Grading companies, the grades that titles state, and words that say only that a card is graded.
 GRADERS = ["psa", "bgs", "sgc", "cgc", "tag", "bvg", "csg", "hga"]
 GRADES = ["10", "9.5", "9", "8.5", "8", "7.5", "7", "6", "5", "4", "3", "2", "1"]
@@ -127,7 +130,7 @@ def _candidates(t: DataFrame, catalog: DataFrame, r: LinkRules) -> DataFrame:
     prefixes = catalog.filter(prefix != "").select("set_key", prefix.alias("prefix"), "section").distinct()
     per_set = prefixes.groupBy("set_key").agg(F.collect_set(F.struct("prefix", "section")).alias("prefixes"))
     e = t.select("rid", "t", "code", "cname", "auto", F.explode("sets").alias("s")).select("*", F.col("s.set_key").alias("set_key")).drop("s")
-    e = e.join(F.broadcast(sections), "set_key").join(F.broadcast(per_set), "set_key", "left")  # one row per set of the catalog
+    e = e.join(small_enough(sections, MAX_BROADCAST_SETS), "set_key").join(small_enough(per_set, MAX_BROADCAST_SETS), "set_key", "left")
     known = F.coalesce("prefixes", F.array().cast("array<struct<prefix:string,section:string>>"))
     own = F.regexp_extract(F.coalesce("code", F.lit("")), "^([A-Z]+)-", 1)
     by_prefix = F.try_element_at(F.filter(known, lambda p: p["prefix"] == own), F.lit(1))["section"]
@@ -193,7 +196,7 @@ def link(rows: DataFrame, catalog: DataFrame, checklist: DataFrame, r: LinkRules
     lists = checklist.select("set_key", "section", "parallel", F.col("run").cast("int").alias("run"), feats.alias("f"))
     entry = F.struct(F.col("parallel").alias("name"), "run", F.try_element_at(F.col("f.finishes"), F.lit(1)).alias("finish"), F.try_element_at(F.col("f.colours"), F.lit(1)).alias("colour"), F.col("f.modifier").alias("modifier"))
     lists = lists.groupBy(F.col("set_key").alias("lk"), F.col("section").alias("ls")).agg(F.collect_list(entry).alias("checklist"))
-    j = j.join(F.broadcast(lists), (F.col("hit.set_key") == F.col("lk")) & (F.col("hit.section") == F.col("ls")), "left")  # one row per section
+    j = j.join(small_enough(lists, MAX_BROADCAST_SETS), (F.col("hit.set_key") == F.col("lk")) & (F.col("hit.section") == F.col("ls")), "left")
     # The card's own name words ("Lucky Black Cat") say nothing of a parallel.
     rest = F.trim(F.replace(F.concat(F.lit(" "), F.col("t"), F.lit(" ")), F.concat(F.lit(" "), F.col("hit.card_name"), F.lit(" ")), F.lit("  ")))
     none = F.slice(F.array(F.struct(F.lit("").alias("name"), F.lit(0).alias("run"), *[F.lit("").alias(n) for n in ("finish", "colour", "modifier")])), 1, 0)
@@ -244,7 +247,7 @@ def link_finishes(rows: DataFrame, catalog: DataFrame, finishes: Sequence[str],
     parallel = F.when(F.col("pair").isNotNull() & (F.size("said") == 2), F.col("pair")).when(F.col("pair").isNull() & (F.size(plain) == 1), plain[0])
     j = j.withColumn("par", F.when(F.col("section") == base, parallel).otherwise(F.coalesce(parallel, F.lit("base"))))
     k = runs.select(F.col("section").alias("rs"), scalars.name_key(F.col("parallel")).alias("rp"), F.col("run").cast("int").alias("fixed"))
-    j = j.join(F.broadcast(k), (F.col("section") == F.col("rs")) & (F.col("par") == F.col("rp")), "left")  # one row per parallel of a checklist
+    j = j.join(small_enough(k, MAX_BROADCAST_SETS), (F.col("section") == F.col("rs")) & (F.col("par") == F.col("rp")), "left")
     bad = F.col("t").rlike(rules.any_word(list(other))) if other else F.lit(False)
     reason = rules.first_reason([
         (bad, F.lit("other_product")), (F.size("some") > 1, F.lit("ambiguous_section")), (F.col("n_names").isNull(), F.lit("character_unknown")), (F.col("n_names") > 1, F.lit("multiple_characters")),

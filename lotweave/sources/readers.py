@@ -112,11 +112,14 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
 
 
-def read_table(spark: SparkSession, url: str, table: str, key: str | None = None, parts: int = 8, fetch: int = 10_000, **options: str) -> DataFrame:
+def read_table(spark: SparkSession, url: str, table: str, key: str | None = None, parts: int = 8, fetch: int = 10_000, most: int | None = None, **options: str) -> DataFrame:
     """A database table over JDBC; with a numeric ``key`` (spelled as the database does), ``parts`` ranges between its ends are read side by side (null keys are in the first).
 
-    Filters and chosen columns reach the database. A partitioned read is the counterpart of paging by key: no page depends on the one before.
+    Filters and chosen columns reach the database. A partitioned read is the counterpart of paging by key: no page depends on the one before. ``most`` caps
+    the rows of a canary read; ``options`` are the source's, such as queryTimeout (seconds) or sessionInitStatement (to read only).
     """
+    if most is not None:
+        return read_table(spark, url, table, key, parts, fetch, **options).limit(most)
     base = spark.read.format("jdbc").options(url=url, fetchsize=str(fetch), **options)
     if key is None:
         return base.option("dbtable", table).load()

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import staging
@@ -98,6 +98,23 @@ def write_markdown(df: DataFrame, path: str, title: str) -> None:
     lines.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_html(df: DataFrame, path: str, title: str) -> None:
+    """A small aggregate as one HTML page with a table, one row a line in the order of ``df``."""
+
+    def safe(c: Column) -> Column:
+        for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            c = F.replace(c, F.lit(char), F.lit(entity))
+        return c
+
+    cell = lambda c: F.concat(F.lit("<td>"), safe(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("</td>"))
+    spark = df.sparkSession
+    head = spark.createDataFrame([(title, list(df.columns))], "t string, c array<string>").select(
+        F.concat(F.lit('<!doctype html><meta charset="utf-8"><title>'), safe(F.col("t")), F.lit("</title><table><tr>"), F.array_join(F.transform("c", lambda x: F.concat(F.lit("<th>"), safe(x), F.lit("</th>"))), ""), F.lit("</tr>")).alias("value")
+    )
+    body = df.select(F.concat(F.lit("<tr>"), *[cell(c) for c in df.columns], F.lit("</tr>")).alias("value"))
+    head.unionByName(body).unionByName(spark.createDataFrame([("</table>",)], "value string")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def append_run(df: DataFrame, path: str, run: str) -> None:
     """Add one run's rows under its own folder; the same run again replaces only itself."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/ingest_run_id={run}")

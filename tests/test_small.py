@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import functions as F
 
 from lotweave.functions import scalars
-from lotweave.operators import linking
+from lotweave.operators import canonical, linking
 from lotweave.sources import readers, writers
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -41,6 +41,17 @@ def test_plain_sinks(spark, tmp_path):
     assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/csv").collect()] == [("0", "a,b")]
 
 
+def test_pages_faults_and_canaries(spark, tmp_path):
+    writers.write_html(spark.createDataFrame([(1, "a<b & c"), (2, None)], "n int, t string").orderBy("n"), f"{tmp_path}/html", "R & D")
+    page = "".join(r.value for r in spark.read.text(f"{tmp_path}/html").collect())
+    assert page.startswith("<!doctype html>") and "<title>R &amp; D</title>" in page and "<tr><td>1</td><td>a&lt;b &amp; c</td></tr><tr><td>2</td><td></td></tr></table>" in page
+    good, bad = canonical.split_valid(spark.createDataFrame([(1, "x"), (None, ""), (3, "")], "i int, t string"), [(F.col("i") < 0, "negative"), (F.col("t") == "", "empty")])
+    assert [r.i for r in good.collect()] == [1] and sorted(((r.i or 0), r.faults) for r in bad.collect()) == [(0, ["negative", "empty"]), (3, ["empty"])]
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.range(50).select(F.col("id").alias("ID")).write.format("jdbc").options(url=url, dbtable="t", **driver).save()
+    assert readers.read_table(spark, url, "t", "ID", 4, most=7, queryTimeout="30", **driver).count() == 7
+
+
 def test_first_numbers_and_families(spark):
     got = spark.createDataFrame([("70.0 to 80.0",), ("USD 1,250.5",), (None,), ("-",)], "t string").select(scalars.price(F.col("t")).alias("p")).collect()
     assert [r.p for r in got] == [70.0, 1250.5, None, None]
