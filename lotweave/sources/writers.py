@@ -94,8 +94,17 @@ def write_markdown(df: DataFrame, path: str, title: str) -> None:
     cell = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|"))
     head = [f"# {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     body = df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in df.columns]), F.lit(" |")).alias("value"))
-    lines = df.sparkSession.createDataFrame([(x,) for x in head], "value string").unionByName(body)
-    lines.coalesce(1).write.mode("overwrite").text(path)
+    _write_text([df.sparkSession.createDataFrame([(x,) for x in head], "value string").coalesce(1), body], path)
+
+
+def _write_text(parts: list[DataFrame], path: str) -> None:
+    """Lines of small tables, one after the other in their own order, as one file."""
+    out = None
+    for i, part in enumerate(parts):
+        p = part.select(F.lit(i).alias("part"), F.monotonically_increasing_id().alias("nth"), "value")
+        out = p if out is None else out.unionByName(p)
+    if out is not None:
+        out.coalesce(1).sortWithinPartitions("part", "nth").select("value").write.mode("overwrite").text(path)
 
 
 def write_html(df: DataFrame, path: str, title: str) -> None:
@@ -112,7 +121,7 @@ def write_html(df: DataFrame, path: str, title: str) -> None:
         F.concat(F.lit('<!doctype html><meta charset="utf-8"><title>'), safe(F.col("t")), F.lit("</title><table><tr>"), F.array_join(F.transform("c", lambda x: F.concat(F.lit("<th>"), safe(x), F.lit("</th>"))), ""), F.lit("</tr>")).alias("value")
     )
     body = df.select(F.concat(F.lit("<tr>"), *[cell(c) for c in df.columns], F.lit("</tr>")).alias("value"))
-    head.unionByName(body).unionByName(spark.createDataFrame([("</table>",)], "value string")).coalesce(1).write.mode("overwrite").text(path)
+    _write_text([head, body, spark.createDataFrame([("</table>",)], "value string")], path)
 
 
 def append_run(df: DataFrame, path: str, run: str) -> None:
