@@ -162,6 +162,7 @@ def predicted(docs: DataFrame, filters: Filters | None, text_col: str = "text",
     known = docs.sparkSession.sparkContext.broadcast(filters)  # one mask per position: 2 MB for each 64 languages
 
     def predict(texts: pd.Series) -> pd.DataFrame:
+        workers.drop()
         f = known.value
         table, lang, score = _letters_once(), [], []
         rates = f.false_positives() if f else None

@@ -31,6 +31,8 @@ WIDTH = 4  # bytes of an id
 #: Sequence ids of a worker start at its number shifted by so many bits.
 WORKER_SHIFT = 40
 BATCH_ROWS = 20_000
+#: Chunks whose ids a worker remembers: some 90 MB. Fewer take more time, not more memory.
+CHUNKS = 500_000
 STOPS = (b".", b",", b";", b":", b"!", b"?")
 #: What a vocabulary file says of its normaliser and its pre-tokens if these don't look beyond white space, which falls out.
 PLAIN_NORMALS = ["NFC", "Replace", "Lowercase"]
@@ -60,7 +62,7 @@ class IdsOfChunk(dict):
     Only for vocabularies that :func:`splits_at_spaces`: their pre-tokens never hold white space, so the ids of a text are those of its chunks in order.
     """
 
-    def __init__(self, tokenizer, limit: int = 500_000, longest: int = 48):
+    def __init__(self, tokenizer, limit: int = CHUNKS, longest: int = 48):
         super().__init__()
         self.tokenizer, self.limit, self.longest = tokenizer, limit, longest
 
@@ -90,8 +92,8 @@ class IdsOfText:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def ids_by(tokenizer_path: str) -> IdsOfChunk | IdsOfText:
-    """The worker's way to ids for a vocabulary file."""
+def ids_by(tokenizer_path: str, chunks: int = CHUNKS) -> IdsOfChunk | IdsOfText:
+    """The worker's way to ids for a vocabulary file, remembering so many chunks."""
 
     def make() -> IdsOfChunk | IdsOfText:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,9 +102,9 @@ def ids_by(tokenizer_path: str) -> IdsOfChunk | IdsOfText:
         tokenizer = Tokenizer.from_file(tokenizer_path)
         with open(tokenizer_path, encoding="utf-8") as f:
             plain = splits_at_spaces(json.load(f))
-        return IdsOfChunk(tokenizer) if plain else IdsOfText(tokenizer)
+        return IdsOfChunk(tokenizer, chunks) if plain else IdsOfText(tokenizer)
 
-    return workers.kept(("ids", tokenizer_path), make)
+    return workers.kept(("ids", tokenizer_path, chunks), make)
 
 
 def remainder_cuts(length: int, capacity: int, waste: float) -> list[tuple[int, int]]:
@@ -184,16 +186,18 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def pack_harmonic(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048, waste: float = 1 / 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_harmonic(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048, waste: float = 1 / 64, id_col: str = "doc_id", text_col: str = "text", chunks: int = CHUNKS,
+) -> DataFrame:
     """One row per piece; a document's ids are the tokenizer's, without special ids added, then ``end_id``.
 
     Columns: doc_id, start (the document's ids before the piece), length, ids_crc32 (of the ids as little-endian unsigned 32-bit
-    integers), doc_tokens, sequence_id, offset. ``tokenizer_path`` must exist on every worker.
+    integers), doc_tokens, sequence_id, offset. ``tokenizer_path`` must exist on every worker. ``chunks`` trades a worker's memory for time.
     """
     shared.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ids_by(tokenizer_path)
+        ids = ids_by(tokenizer_path, chunks)
         end = np.asarray([end_id], "<u4").tobytes()
         packer = Packer(TaskContext.get().partitionId(), capacity, waste)
         for batch in batches:

@@ -136,6 +136,7 @@ def fit(
     known = known.orderBy(order, "__id").limit(max_labelled)  # the bounded sample of labelled rows
 
     def stats(texts: pd.Series) -> pd.Series:
+        workers.drop()
         return pd.Series([statistics(t) for t in texts])
 
     rows = docs.select(F.col(id_col).alias("__key"), F.col(text_col).cast("string").alias("__text")).join(F.broadcast(known), F.col("__key") == F.col("__id"))
@@ -187,6 +188,7 @@ def scored(docs: DataFrame, model: Model | None, text_col: str = "text", as_col:
         return docs.withColumn(as_col, F.lit(0.5))
 
     def score(texts: pd.Series) -> pd.Series:
+        workers.drop()
         return pd.Series(model.score(texts.tolist()))
 
     return docs.withColumn(as_col, F.pandas_udf(score, "double")(F.col(text_col).cast("string")))

@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 2 << 20) -> None:
     """Lower the session's rows and bytes per Arrow batch: whole texts are handed to Python, and a batch is held on both sides.
 
     The setting stays, since a plan reads it when it runs, which is after the operator has returned it.
