@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from lotweave.llm import exact, mixing, neardup, packing, quality, shared
 from lotweave.llm.queries import GOOD, table
 
+#: Chunks that a packing worker remembers: executors have other stages' memory to hold, and time to spare.
+CHUNKS = 200_000
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _staged: list[str] = []
 
@@ -75,7 +77,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @cleaning
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences; a repeated document is packed as often as it comes."""
-    return packing.pack_harmonic(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_harmonic(docs, public_tokenizers.path("word_bpe_49k.json"), chunks=CHUNKS)
 
 
 STAGES = [
