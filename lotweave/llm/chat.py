@@ -123,8 +123,12 @@ def format_windows(turns: DataFrame, budget: int = 1024, history: int = 256, per
     )
     members = members.unionByName(repeated)
     members = members.withColumn("shown", F.concat(F.lit(OPEN), "role", F.lit("\n"), "body", F.lit(CLOSE)))
-    members = members.withColumn("item", F.struct("order", "new", (F.length(F.lit(OPEN)) + F.length("role") + 1).alias("lead"), F.length("body").alias("length"), (F.col("new") & (F.col("role") == "assistant")).alias("counts"), "shown"))
-    out = members.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list("item")).alias("items"), F.sum("tokens").alias("tokens"), F.sum(F.when(F.col("new"), 0).otherwise(1)).alias("context_turns"), F.sum(F.when(F.col("new"), 1).otherwise(0)).alias("new_turns"))
+    lead, counts = F.length(F.lit(OPEN)) + F.length("role") + 1, F.col("new") & (F.col("role") == "assistant")
+    members = members.withColumn("item", F.struct("order", "new", lead.alias("lead"), F.length("body").alias("length"), counts.alias("counts"), "shown"))
+    out = members.groupBy("conv_id", "window").agg(
+        F.array_sort(F.collect_list("item")).alias("items"), F.sum("tokens").alias("tokens"), F.sum(F.when(F.col("new"), 0).otherwise(1)).alias("context_turns"),
+        F.sum(F.when(F.col("new"), 1).otherwise(0)).alias("new_turns"),
+    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("loss"))
 
     def step(acc, x):

@@ -155,7 +155,7 @@ def kept_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
     if path is None:
         path = shared.new_path(spark, "exact-input")
         docs.write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(docs.schema).parquet(path)
     names = rows.columns
     here, file, row = (shared.fresh(names, n) for n in ("here", "gone_file", "gone_row"))
     gone = dedup_exact(spark, path, id_col, text_col).filter("not kept").select(F.col("at.file").alias(file), F.col("at.row").alias(row))

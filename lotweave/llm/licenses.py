@@ -12,8 +12,10 @@ from the nearest directory above it that has a licence file (the one with the sm
 Only units with an anchor token are weighed: without any anchor no unit can reach ``least``, since the rest of every template's vector is too
 short for that. Anchors follow from the templates and ``least``; no text is cut.
 
-Nulls: a null text is empty and states nothing; a null path is a file of its own without directories. Repeated rows count each.
-An empty table gives an empty result. Only the id, path and text columns are read.
+Texts of any length are read whole; a very long one is one task's work, since its blocks are made from its own lines. Nulls: a null text is
+empty and states nothing; a null path is a file of its own without directories. Repeated rows count each. Ties: equal scores go to the first name, two
+licence files of one path to the first name too. An empty table gives an empty result. Only the id, path and text columns are read, whatever other
+columns are called.
 """
 
 from __future__ import annotations
