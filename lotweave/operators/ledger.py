@@ -75,7 +75,9 @@ def catalog_plan(cards: DataFrame, checklist: DataFrame, want: DataFrame, have:
     ))
     of_cards = c.select("card_id", F.explode(steps).alias("s")).select(F.lit("card").alias("kind"), F.col("s.a").alias("action"), F.col("card_id").alias("id"), F.col("s.o").alias("old"), F.col("s.n").alias("new"))
     of_cards = staging.staged(of_cards, "plan-cards")
-    add = live.join(cards.select("card_id"), F.col("lk") == F.col("card_id"), "left_anti").select(F.lit("card").alias("kind"), F.lit("add").alias("action"), F.col("lk").alias("id"), F.lit(None).cast("string").alias("old"), F.lit(None).cast("string").alias("new"))
+    nothing = F.lit(None).cast("string")
+    add = live.join(cards.select("card_id"), F.col("lk") == F.col("card_id"), "left_anti")
+    add = add.select(F.lit("card").alias("kind"), F.lit("add").alias("action"), F.col("lk").alias("id"), nothing.alias("old"), nothing.alias("new"))
     moves = of_sales.filter("action = 'move'").groupBy("old").agg(F.count_distinct("new").alias("n"), F.min("new").alias("to"))
     lost = of_sales.filter("action = 'retract'").select("old").distinct()
     gone = of_cards.filter("action = 'withdraw'").select(F.col("id").alias("wid"))

@@ -91,7 +91,10 @@ def link_titles(rows: DataFrame, catalog: DataFrame, names: str = "character", r
     best = F.max(F.size("set_words")).over(Window.partitionBy("rid"))
     hits = hits.withColumn("__b", best).filter(F.size("set_words") == F.col("__b")).groupBy("rid").agg(F.count_distinct("card_id").alias("n_cards"), F.min("card_id").alias("card"))
     out = j.join(hits, "rid", "left")
-    reason = rules.first_of([(F.col("many"), "not_single"), (F.col("n_names").isNull(), "character_unknown"), (F.col("n_names") > 1, "multiple_characters"), (F.col("n_cards").isNull(), "no_catalog_match"), (F.col("n_cards") > 1, "ambiguous")], "ok")
+    reason = rules.first_of([
+        (F.col("many"), "not_single"), (F.col("n_names").isNull(), "character_unknown"), (F.col("n_names") > 1, "multiple_characters"),
+        (F.col("n_cards").isNull(), "no_catalog_match"), (F.col("n_cards") > 1, "ambiguous"),
+    ], "ok")
     out = out.withColumn("reason", reason)
     return out.select(F.col("rid").alias(row_key), F.when(F.col("reason") == "ok", F.col("card")).alias("card_id"), "reason")
 
@@ -106,7 +109,8 @@ def assign_by_set(rows: DataFrame, catalog: DataFrame, row_key: str, words: str,
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    return out.select(row_key, F.when(F.col("__n") == 1, F.col("card_id")).alias("card_id"), F.when(missing, "missing_field").when(F.col("__n").isNull(), "no_card").when(F.col("__n") > 1, "ambiguous").otherwise("assigned").alias("status"))
+    status = F.when(missing, "missing_field").when(F.col("__n").isNull(), "no_card").when(F.col("__n") > 1, "ambiguous").otherwise("assigned")
+    return out.select(row_key, F.when(F.col("__n") == 1, F.col("card_id")).alias("card_id"), status.alias("status"))
 
 
 def variant_matrix(cards: DataFrame, parallels: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -165,7 +165,10 @@ def build_rows(raw: DataFrame, source: str) -> DataFrame:
 
 
 # --- nested archives and staged feeds ---------------------------------------------------------------------------------
-NESTED = "catalog_id string, source_item_id string, title string, sold_price string, sold_date string, source_url string, image_url string, slug string, raw struct<source:string, slug:string, ledger_anchor:string, grade_label:string, image_url:string, best_offer:string>"
+NESTED = (
+    "catalog_id string, source_item_id string, title string, sold_price string, sold_date string, source_url string, image_url string, slug string, "
+    "raw struct<source:string, slug:string, ledger_anchor:string, grade_label:string, image_url:string, best_offer:string>"
+)
 
 
 def nested_spec() -> dict[str, Column]:

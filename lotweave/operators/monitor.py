@@ -44,7 +44,8 @@ def totals(rows: DataFrame, by: Sequence[str], distinct: Sequence[str]) -> DataF
 def shrink_verdict(before: DataFrame, after: DataFrame, by: str, floor: int, share: float = 0.1) -> DataFrame:
     """One row (n_before, n_after, refuse, groups): refused if the total, or any group of at least ``floor``, lost more than ``share``."""
     g = shrink_guard(before, after, by, floor, share)
-    out = g.agg(F.coalesce(F.sum("n_before"), F.lit(0)).alias("n_before"), F.coalesce(F.sum("n_after"), F.lit(0)).alias("n_after"), F.sort_array(F.collect_list(F.when(F.col("refuse"), F.col(by).cast("string")))).alias("groups"))
+    shrunk = F.sort_array(F.collect_list(F.when(F.col("refuse"), F.col(by).cast("string"))))
+    out = g.agg(F.coalesce(F.sum("n_before"), F.lit(0)).alias("n_before"), F.coalesce(F.sum("n_after"), F.lit(0)).alias("n_after"), shrunk.alias("groups"))
     return out.withColumn("refuse", (F.size("groups") > 0) | (F.col("n_after") < F.col("n_before") * (1 - share)))
 
 

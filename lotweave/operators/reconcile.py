@@ -23,7 +23,8 @@ def diff(want: DataFrame, have: DataFrame, key: str, target: str, visible: str)
 def redirects(plan: DataFrame) -> DataFrame:
     """(from_target, to_target) where all of a target's rows moved to one other and none was withdrawn."""
     g = plan.filter("from_target IS NOT NULL").groupBy("from_target").agg(
-        F.count_distinct(F.when(F.col("action") == "repoint", F.col("to_target"))).alias("n_to"), F.count_if(F.col("action") != "repoint").alias("others"), F.max(F.when(F.col("action") == "repoint", F.col("to_target"))).alias("to_target")
+        F.count_distinct(F.when(F.col("action") == "repoint", F.col("to_target"))).alias("n_to"), F.count_if(F.col("action") != "repoint").alias("others"),
+        F.max(F.when(F.col("action") == "repoint", F.col("to_target"))).alias("to_target"),
     )
     return g.filter("n_to = 1 AND others = 0").select("from_target", "to_target")
 

@@ -134,7 +134,10 @@ def propose_ids(sales: DataFrame, sports: DataFrame, stop: set[str], junk: set[s
 
 
 # --- which may be loaded ----------------------------------------------------------------------------------------------
-def held_reason(status: Column, price: Column, venue: Column, url: Column, by_month: Column, title: Column, payment: Column, grade: Column, approved: Column, recorded: Column, houses: Sequence[str], floor: float) -> Column:
+def held_reason(
+    status: Column, price: Column, venue: Column, url: Column, by_month: Column, title: Column, payment: Column, grade: Column, approved: Column, recorded: Column,
+    houses: Sequence[str], floor: float,
+) -> Column:
     """Why a sale isn't loaded, the first reason that holds; ``loaded`` if none does, null for sales that aren't considered at all."""
     low = F.lower(title)
     own_label = low.contains("black label") | (low.contains("gold label") & ~low.contains("topps gold label"))

@@ -194,7 +194,8 @@ def link(rows: DataFrame, catalog: DataFrame, checklist: DataFrame, r: LinkRules
 
     feats = cards.parallel_features(F.col("parallel"))
     lists = checklist.select("set_key", "section", "parallel", F.col("run").cast("int").alias("run"), feats.alias("f"))
-    entry = F.struct(F.col("parallel").alias("name"), "run", F.try_element_at(F.col("f.finishes"), F.lit(1)).alias("finish"), F.try_element_at(F.col("f.colours"), F.lit(1)).alias("colour"), F.col("f.modifier").alias("modifier"))
+    first = lambda c: F.try_element_at(F.col(c), F.lit(1))
+    entry = F.struct(F.col("parallel").alias("name"), "run", first("f.finishes").alias("finish"), first("f.colours").alias("colour"), F.col("f.modifier").alias("modifier"))
     lists = lists.groupBy(F.col("set_key").alias("lk"), F.col("section").alias("ls")).agg(F.collect_list(entry).alias("checklist"))
     j = j.join(small_enough(lists, MAX_BROADCAST_SETS), (F.col("hit.set_key") == F.col("lk")) & (F.col("hit.section") == F.col("ls")), "left")
     # The card's own name words ("Lucky Black Cat") say nothing of a parallel.
@@ -222,7 +223,10 @@ def link(rows: DataFrame, catalog: DataFrame, checklist: DataFrame, r: LinkRules
 
 
 # --- sets without numbers ---------------------------------------------------------------------------------------------
-def link_finishes(rows: DataFrame, catalog: DataFrame, finishes: Sequence[str], sections: Mapping[str, Sequence[str]], runs: DataFrame, other: Sequence[str] = (), base: str = "base", row_key: str = "row_id", title: str = "title") -> DataFrame:
+def link_finishes(
+    rows: DataFrame, catalog: DataFrame, finishes: Sequence[str], sections: Mapping[str, Sequence[str]], runs: DataFrame, other: Sequence[str] = (),
+    base: str = "base", row_key: str = "row_id", title: str = "title",
+) -> DataFrame:
     """(row key, card_id, section, parallel, print_run, grade, reason) for sets whose cards have a name, a finish and perhaps a background, but no number.
 
     "Gold on Silver" is a finish on a background. ``catalog`` has card_id, section, character; ``sections`` the words of each section but ``base``;

@@ -117,9 +117,9 @@ def write_html(df: DataFrame, path: str, title: str) -> None:
 
     cell = lambda c: F.concat(F.lit("<td>"), safe(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("</td>"))
     spark = df.sparkSession
-    head = spark.createDataFrame([(title, list(df.columns))], "t string, c array<string>").select(
-        F.concat(F.lit('<!doctype html><meta charset="utf-8"><title>'), safe(F.col("t")), F.lit("</title><table><tr>"), F.array_join(F.transform("c", lambda x: F.concat(F.lit("<th>"), safe(x), F.lit("</th>"))), ""), F.lit("</tr>")).alias("value")
-    )
+    names = F.array_join(F.transform("c", lambda x: F.concat(F.lit("<th>"), safe(x), F.lit("</th>"))), "")
+    top = F.concat(F.lit('<!doctype html><meta charset="utf-8"><title>'), safe(F.col("t")), F.lit("</title><table><tr>"), names, F.lit("</tr>"))
+    head = spark.createDataFrame([(title, list(df.columns))], "t string, c array<string>").select(top.alias("value"))
     body = df.select(F.concat(F.lit("<tr>"), *[cell(c) for c in df.columns], F.lit("</tr>")).alias("value"))
     _write_text([head, body, spark.createDataFrame([("</table>",)], "value string")], path)
 
