@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import staging
 
 SEGMENT = "__segment"
+ROWS_PER_RANGE = 200_000
 
 
 def _cut(rows: DataFrame, segment: Column | None) -> DataFrame:
@@ -52,9 +53,11 @@ def ordinals(rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str
 def ranged_running(rows: DataFrame, order: Sequence[Column], sums: Mapping[str, Column], name: str = "ranged") -> DataFrame:
     """``rows`` with running sums along ``order``, which is total, over the whole table: for values without a natural segment.
 
-    Rows are dealt to tasks by ranges of ``order``; the range is the segment, and is stored with the rows so that it stays what it was.
+    Rows are dealt to tasks by ranges of ``order``, as many as their number calls for; the range is the segment, and is stored with the rows so
+    that it stays what it was.
     """
-    ranges = rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    n = max(1, -(-rows.count() // ROWS_PER_RANGE))
+    ranges = rows.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id())
     return running(staging.staged(ranges, name), [], order, sums, F.col("__range")).drop("__range")
 
 
