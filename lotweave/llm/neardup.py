@@ -34,6 +34,8 @@ from . import shared, shingles, workers
 
 #: Ids are joined by broadcast up to this many rows (8 bytes each, some 32 once hashed).
 MAX_BROADCAST_IDS = 250_000
+#: Links, or rows of a table about them, in one file of a round of the components.
+LINKS_PER_FILE = 200_000
 
 
 @dataclass(frozen=True)
@@ -190,24 +192,30 @@ def components(links: DataFrame) -> DataFrame:
     """(id, label) of every id in ``links`` (a, b); label is the smallest id that it reaches.
 
     Each round every label hooks to its smallest neighbour, chains are shortened by pointer jumping, and links are rewritten to labels; links
-    within a label go. A label that isn't the least among its neighbours vanishes, so rounds grow with the logarithm.
+    within a label go. A label that isn't the least among its neighbours vanishes, so rounds grow with the logarithm. Tables shrink from round to
+    round, and get as many files as their links need.
     """
     edges = shared.staged(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-links")
-    labels = shared.staged(_ends(edges).select(F.col("a").alias("id"), F.col("a").alias("label")), "cc-labels")
-    while not edges.isEmpty():
+    n = edges.count()
+    put = lambda df, name, n: shared.staged(df.coalesce(max(1, -(-n // LINKS_PER_FILE))), name)
+    nodes = 2 * n
+    labels = put(_ends(edges).select(F.col("a").alias("id"), F.col("a").alias("label")), "cc-labels", nodes)
+    while n:
         parents = edges.groupBy(F.col("b").alias("x")).agg(F.min("a").alias("p"))
-        parents = shared.staged(parents, "cc-parents")  # every p is less than its x: a forest
+        parents = put(parents, "cc-parents", n)  # every p is less than its x: a forest
         while True:
             up = parents.select(F.col("x").alias("px"), F.col("p").alias("pp"))
-            jumped = shared.staged(parents.join(up, F.col("p") == F.col("px"), "left").select("x", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")), "cc-jump")
+            jumped = parents.join(up, F.col("p") == F.col("px"), "left").select("x", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved"))
+            jumped = put(jumped, "cc-jump", n)
             parents = jumped.select("x", "p")
             if jumped.filter("moved").isEmpty():
                 break
-        labels = shared.staged(labels.join(parents, F.col("label") == F.col("x"), "left").select("id", F.coalesce("p", "label").alias("label")), "cc-labels")
+        labels = put(labels.join(parents, F.col("label") == F.col("x"), "left").select("id", F.coalesce("p", "label").alias("label")), "cc-labels", nodes)
         to = lambda side: parents.select(F.col("x").alias(f"x{side}"), F.col("p").alias(f"p{side}"))
         moved = edges.join(to("a"), F.col("a") == F.col("xa"), "left").join(to("b"), F.col("b") == F.col("xb"), "left")
         moved = moved.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")).filter("a <> b")
-        edges = shared.staged(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-links")
+        edges = put(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-links", n)
+        n = edges.count()
     return labels
 
 
