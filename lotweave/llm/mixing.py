@@ -63,10 +63,13 @@ def thresholds(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     hist = shared.staged(
         sized.groupBy("source", F.floor(F.col("h") / STEP).alias("bucket")).agg(F.sum("size").alias("size")), "mix-histogram"
     )
-    targets = source_targets(hist.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    by_source = hist.groupBy("source").agg(F.sum("size").alias("source_size"))
+    files = max(1, -(-by_source.count() // ordered.ROWS_PER_RANGE))  # the tables from here on have one row per source
+    targets = source_targets(by_source, weights, share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    state = shared.staged(targets.withColumn("prefix", F.lit(0).cast("long")).withColumn("base", F.lit(0).cast("long")), "mix-targets")
+    state = targets.withColumn("prefix", F.lit(0).cast("long")).withColumn("base", F.lit(0).cast("long"))
+    state = shared.staged(state.coalesce(files), "mix-targets")
     for level in range(LEVELS):
         if level:
             width = STEP ** (LEVELS - 1 - level)
@@ -76,7 +79,7 @@ def thresholds(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
                 shared.small_enough(edge, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("s")) & (F.col("parent") == F.col("prefix"))
             )
             hist = inside.groupBy("source", F.floor(F.col("h") / width).alias("bucket")).agg(F.sum("size").alias("size"))
-        state = shared.staged(_boundary(hist, state, last=level == LEVELS - 1), "mix-boundary")
+        state = shared.staged(_boundary(hist, state, last=level == LEVELS - 1).repartition(files), "mix-boundary")
     below = F.when(F.col("rest") <= 0, 0).when(F.col("open"), F.col("prefix")).otherwise(SPACE)
     return state.select("source", "source_size", "target", "whole", below.cast("long").alias("below"))
 
