@@ -34,10 +34,25 @@ def near_pairs(rows: DataFrame, key: str, price: str, day: str, percent: float =
 
 
 def near_anti(left: DataFrame, right: DataFrame, equal: Sequence[str], day: str, days: int = 1) -> DataFrame:
-    """Rows of ``left`` without a row of ``right`` that has equal keys and a day at most ``days`` away."""
-    span = F.explode(F.array(*[F.date_add(F.col(day).cast("date"), i) for i in range(-days, days + 1)]))
-    r = right.select(*[F.col(e).alias(f"__{e}") for e in equal], span.alias("__day")).distinct()
-    return left.join(r, [F.col(e) == F.col(f"__{e}") for e in equal] + [F.col(day).cast("date") == F.col("__day")], "left_anti")
+    """Rows of ``left`` without a row of ``right`` that has equal keys and a day at most ``days`` away.
+
+    Right rows are reduced to the first and last day of each bucket of ``days`` + 1 days. A day finds a partner for certain in its own bucket,
+    else in the last day of the bucket before or in the first day of the next; so whatever the tolerance, a bucket is held three times.
+    """
+    bucket = lambda c: F.floor(F.unix_date(c) / (days + 1))
+    r = right.select(*[F.col(e).alias(f"__{e}") for e in equal], F.col(day).cast("date").alias("__d")).filter("__d IS NOT NULL")
+    keys = [f"__{e}" for e in equal]
+    r = r.groupBy(*keys, bucket(F.col("__d")).alias("__b")).agg(F.min("__d").alias("__lo"), F.max("__d").alias("__hi"))
+    none = F.lit(None).cast("date")
+    at = [F.struct((F.col("__b") + i).alias("b"), own.alias("own"), before.alias("before"), after.alias("after")) for i, own, before, after in (
+        (0, F.lit(True), none, none), (1, F.lit(False), F.col("__hi"), none), (-1, F.lit(False), none, F.col("__lo")),
+    )]
+    r = r.select(*keys, F.explode(F.array(*at)).alias("__at")).groupBy(*keys, F.col("__at.b").alias("__b"))
+    r = r.agg(F.bool_or("__at.own").alias("__own"), F.max("__at.before").alias("__before"), F.min("__at.after").alias("__after"))
+    d = F.col(day).cast("date")
+    near = F.col("__own") | F.coalesce(F.datediff(d, "__before") <= days, F.lit(False)) | F.coalesce(F.datediff("__after", d) <= days, F.lit(False))
+    # The merge hint keeps a table that merely packs well from being sent to the driver.
+    return left.join(r.hint("merge"), [F.col(e) == F.col(f"__{e}") for e in equal] + [bucket(d) == F.col("__b"), near], "left_anti")
 
 
 def same_sale(title_a: Column, title_b: Column, players_a: Column, players_b: Column, least: float = 0.3) -> Column:

@@ -166,3 +166,16 @@ def test_lookups_in_all_of_part(spark, tmp_path):
     run = lambda name: sorted(map(tuple, registry.queries()[name](spark, str(tmp_path)).collect()))
     assert run("known_name_windows_all") == [(1, "red fox"), (7, "red fox"), (8, "blue cat")]
     assert run("set_word_match_all") == [(1, 1, "assigned"), (7, 7, "assigned"), (8, 8, "assigned")]
+
+
+def test_near_anti_takes_any_tolerance_without_a_broadcast(spark):
+    day = lambda i: dt.date(2020, 1, 1) + dt.timedelta(i) if i is not None else None
+    left = [(i, i % 3 if i % 11 else None, (i * 37) % 400 - 90 if i % 13 else None) for i in range(120)]
+    right = [(i % 4 if i % 5 else None, (i * i * 7) % 400 - 90 if i % 6 else None) for i in range(25)]
+    a = spark.createDataFrame([(i, k, day(x)) for i, k, x in left], "id int, k int, d date")
+    b = spark.createDataFrame([(k, day(x)) for k, x in right], "k int, d date")
+    for days in (0, 1, 6, 30):
+        out = joins.near_anti(a, b, ["k"], "d", days)
+        met = {i for i, k, x in left for rk, y in right if None not in (k, x, y) and k == rk and abs(x - y) <= days}
+        assert sorted(r.id for r in out.collect()) == [i for i, _, _ in left if i not in met] and out.columns == a.columns
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
