@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, scalars
+from ..staging import small_or_merged
+from .strict import names_in
 
+#: Groups of cards with equal keys and set words are broadcast up to so many rows.
+MAX_BROADCAST_CARDS = 100_000
 #: Grading companies as titles name them.
 GRADERS = ["psa", "bgs", "sgc", "cgc", "hga", "csg"]
 
@@ -79,38 +83,52 @@ def link_titles(rows: DataFrame, catalog: DataFrame, names: str = "character", r
     t = rows.select(F.col(row_key).alias("rid"), scalars.name_key(F.col(title)).alias("t"), F.lower(F.col(title)).rlike(reject).alias("many"), parse_title(F.col(title))["number"].alias("num"))
     t = t.withColumn("words", F.filter(F.split("t", " "), lambda w: w != ""))
     cat = catalog.select("card_id", "set_words", scalars.number_key(F.col("number")).alias("cnum"), scalars.name_key(F.col(names)).alias("cname"))
-    sizes = [r[0] for r in cat.select(F.size(F.split("cname", " ")).alias("n")).distinct().orderBy("n").collect()] or [1]
-    runs = F.concat(*[scalars.windows(F.col("words"), n) for n in sizes])
-    named = t.select("rid", F.explode(runs).alias("cname")).distinct().join(cat.select("cname").distinct(), "cname")
-    longer = F.exists("__all", lambda o: (o != F.col("cname")) & F.concat(F.lit(" "), o, F.lit(" ")).contains(F.concat(F.lit(" "), F.col("cname"), F.lit(" "))))
-    named = named.withColumn("__all", F.collect_list("cname").over(Window.partitionBy("rid"))).filter(~longer).drop("__all")
-    per = named.groupBy("rid").agg(F.count(F.lit(1)).alias("n_names"), F.min("cname").alias("cname"))
-    j = t.join(per, "rid", "left")
-    hits = j.filter("n_names = 1").join(cat, "cname").filter(F.size(F.array_except("set_words", "words")) == 0)
-    hits = hits.filter(F.col("num").isNull() | (scalars.number_key(F.col("num")) == F.col("cnum")))
-    best = F.max(F.size("set_words")).over(Window.partitionBy("rid"))
-    hits = hits.withColumn("__b", best).filter(F.size("set_words") == F.col("__b")).groupBy("rid").agg(F.count_distinct("card_id").alias("n_cards"), F.min("card_id").alias("card"))
-    out = j.join(hits, "rid", "left")
+    per = names_in(t, cat.select("cname")).groupBy("rid").agg(F.count(F.lit(1)).alias("n_names"), F.min("cname").alias("cname"))
+    j = t.join(per.hint("merge"), "rid", "left")
+    # A title without a number meets cards of any number: each card stands under its number and under "*", which is no number's key.
+    numbered = cat.withColumn("key", F.explode(F.array(F.col("cnum"), F.lit("*")))).filter("key IS NOT NULL")
+    titles = j.filter("n_names = 1").withColumn("key", F.when(F.col("num").isNull(), "*").otherwise(scalars.number_key(F.col("num"))))
+    hits = _best_sets(titles, numbered, "rid", "words", ["cname", "key"])
+    out = j.join(hits.withColumnRenamed("__row", "rid").hint("merge"), "rid", "left")
     reason = rules.first_of([
         (F.col("many"), "not_single"), (F.col("n_names").isNull(), "character_unknown"), (F.col("n_names") > 1, "multiple_characters"),
-        (F.col("n_cards").isNull(), "no_catalog_match"), (F.col("n_cards") > 1, "ambiguous"),
+        (F.col("__met").isNull(), "no_catalog_match"), (F.col("__lo") != F.col("__hi"), "ambiguous"),
     ], "ok")
     out = out.withColumn("reason", reason)
-    return out.select(F.col("rid").alias(row_key), F.when(F.col("reason") == "ok", F.col("card")).alias("card_id"), "reason")
+    return out.select(F.col("rid").alias(row_key), F.when(F.col("reason") == "ok", F.col("__lo")).alias("card_id"), "reason")
+
+
+def _best_sets(rows: DataFrame, catalog: DataFrame, row_key: str, words: str, keys: Sequence[str]) -> DataFrame:
+    """(__row, __met, __lo, __hi) of rows that meet a card: of cards with equal keys whose set words all occur in the row, those with most set words; their smallest and largest id.
+
+    Cards with equal keys and set words are one group, held by its smallest and largest id, since more than one card is a tie however many
+    there are. A row meets a group through the group's rarest set word, so not every group of its keys is held against it.
+    """
+    ks = [f"__k{i}" for i in range(len(keys))]
+    named = [F.col(k).alias(n) for k, n in zip(keys, ks, strict=True)]
+    c = catalog.select(*named, "set_words", "card_id").groupBy(*ks, "set_words").agg(F.min("card_id").alias("__lo"), F.max("card_id").alias("__hi"))
+    each = c.select("set_words").distinct().select("set_words", F.explode(F.array_distinct("set_words")).alias("__w"))
+    rare = each.join(each.groupBy("__w").agg(F.count(F.lit(1)).alias("__n")), "__w").groupBy("set_words").agg(F.min(F.struct("__n", "__w"))["__w"].alias("__w"))
+    # Sets without words belong to every row: both stand under an empty word.
+    c = c.join(rare, "set_words", "left").withColumn("__w", F.coalesce("__w", F.lit("")))
+    said = F.explode(F.array_distinct(F.concat(words, F.array(F.lit("")))))
+    r = rows.select(F.col(row_key).alias("__row"), *named, F.col(words).alias("__words"), said.alias("__w"))
+    j = r.join(small_or_merged(c, MAX_BROADCAST_CARDS), [*ks, "__w"]).filter(F.size(F.array_except("set_words", "__words")) == 0)
+    n, lo = F.size("set_words"), F.col("__lo")
+    best = j.groupBy("__row").agg(F.min(F.struct((-n).alias("n"), lo.isNull().alias("none"), lo.alias("id"))).alias("lo"), F.max(F.struct(n.alias("n"), F.col("__hi").alias("id"))).alias("hi"))
+    return best.select("__row", F.lit(True).alias("__met"), F.col("lo.id").alias("__lo"), F.col("hi.id").alias("__hi"))
 
 
 def assign_by_set(rows: DataFrame, catalog: DataFrame, row_key: str, words: str, keys: Sequence[str]) -> DataFrame:
     """(row key, card_id, reason): cards with equal keys whose set words all occur in the row; the one with most set words, ties refused."""
-    c = catalog.select(*[F.col(k).alias(f"__{k}") for k in keys], "card_id", "set_words")
-    j = rows.join(c, [F.col(k) == F.col(f"__{k}") for k in keys]).filter(F.size(F.array_except("set_words", words)) == 0)
-    j = j.withColumn("__r", F.rank().over(Window.partitionBy(row_key).orderBy(F.size("set_words").desc()))).filter("__r = 1")
-    j = j.groupBy(row_key).agg(F.count_distinct("card_id").alias("__n"), F.min("card_id").alias("card_id"))
-    out = rows.select(row_key, *keys).join(j, row_key, "left")
+    best = _best_sets(rows, catalog, row_key, words, keys)
+    out = rows.select(row_key, *keys).join(best.hint("merge"), F.col(row_key) == F.col("__row"), "left")
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    status = F.when(missing, "missing_field").when(F.col("__n").isNull(), "no_card").when(F.col("__n") > 1, "ambiguous").otherwise("assigned")
-    return out.select(row_key, F.when(F.col("__n") == 1, F.col("card_id")).alias("card_id"), status.alias("status"))
+    tie = F.col("__lo") != F.col("__hi")
+    status = F.when(missing, "missing_field").when(F.col("__met").isNull(), "no_card").when(tie, "ambiguous").otherwise("assigned")
+    return out.select(row_key, F.when(~tie, F.col("__lo")).alias("card_id"), status.alias("status"))
 
 
 def variant_matrix(cards: DataFrame, parallels: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -87,6 +87,11 @@ def small_enough(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def small_or_merged(df: DataFrame, max_rows: int) -> DataFrame:
+    """As :func:`small_enough`, but the shuffled join is a merge: else Spark may send either side to the driver whose files merely pack well."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, with underscores put before it until no column of ``taken`` is called that (in any case)."""
     low = {c.lower() for c in taken}
