@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..staging import staged
+from ..staging import small_or_merged, staged
+
+#: Groups of catalog rows that are alike but for their id are broadcast up to so many rows.
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def semi_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
@@ -83,13 +86,19 @@ def greedy_groups(rows: DataFrame, pairs: DataFrame, key: str, order: Sequence[s
 
 
 def resolve(rows: DataFrame, catalog: DataFrame, row_key: str, keys: Sequence[str], rank: Sequence[Column]) -> DataFrame:
-    """(row key, card_id, reason): the unique best catalog row over equal keys; ties are refused as ambiguous, none as no_match."""
-    c = catalog.select(*[F.col(k).alias(f"__{k}") for k in keys], "card_id", *[x for x in catalog.columns if x not in (*keys, "card_id") and x not in rows.columns])
-    j = rows.join(c, [F.col(k) == F.col(f"__{k}") for k in keys])
+    """(row key, card_id, reason): the unique best catalog row over equal keys; ties are refused as ambiguous, none as no_match.
+
+    Catalog rows that differ in nothing but their id are one group, held by its smallest and largest id, since they tie however many there are.
+    """
+    rest = [x for x in catalog.columns if x not in (*keys, "card_id") and x not in rows.columns]
+    ids = ["card_id"] if any("card_id" in str(r).lower() for r in rank) else []  # a rank by ids tells the rows of a group apart
+    c = catalog.groupBy(*[F.col(k).alias(f"__{k}") for k in keys], *rest, *ids).agg(F.min("card_id").alias("__lo"), F.max("card_id").alias("__hi"))
+    j = rows.join(small_or_merged(c, MAX_BROADCAST_GROUPS), [F.col(k) == F.col(f"__{k}") for k in keys])
     best = j.withColumn("__r", F.rank().over(Window.partitionBy(row_key).orderBy(*rank))).filter("__r = 1")
-    best = best.groupBy(row_key).agg(F.count_distinct("card_id").alias("__n"), F.min("card_id").alias("card_id"))
-    out = rows.select(row_key).distinct().join(best, row_key, "left")
-    return out.select(row_key, F.when(F.col("__n") == 1, F.col("card_id")).alias("card_id"), F.when(F.col("__n").isNull(), "no_match").when(F.col("__n") > 1, "ambiguous").otherwise("ok").alias("reason"))
+    best = best.groupBy(row_key).agg(F.lit(True).alias("__met"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+    out = rows.select(row_key).distinct().join(best.hint("merge"), row_key, "left")
+    tie = F.col("__lo") != F.col("__hi")
+    return out.select(row_key, F.when(~tie, F.col("__lo")).alias("card_id"), F.when(F.col("__met").isNull(), "no_match").when(tie, "ambiguous").otherwise("ok").alias("reason"))
 
 
 def corroborate(rows: DataFrame, evidence: DataFrame, levels: Sequence[Sequence[str]], value: str) -> DataFrame:

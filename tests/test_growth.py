@@ -30,3 +30,15 @@ def test_links_to_many_alike_cards(spark):
     out = linking.link_titles(spark.createDataFrame(rows, "row_id int, title string"), cat)
     assert {r.row_id: (r.card_id, r.reason) for r in out.collect()} == {i: said[t] for i, t in rows}
     assert rows_made(out) < 5000
+
+
+def test_resolve_among_many_alike_cards(spark):
+    cat = spark.createDataFrame([(f"c{i:03}", "a", 1) for i in range(300)] + [("d", "a", 2), ("e", "b", 1), ("e", "b", 1), (None, "n", 1)], "card_id string, k string, level int")
+    rows = spark.createDataFrame([(i, "abnz"[i % 4]) for i in range(400)], "row int, k string")
+    get = lambda df: {r.row: (r.card_id, r.reason) for r in df.collect()}
+    rest = [("e", "ok"), (None, "ok"), (None, "no_match")]
+    for rank, of_a in (([F.lit(1)], (None, "ambiguous")), ([F.col("level")], (None, "ambiguous")), ([F.col("level").desc()], ("d", "ok"))):
+        out = joins.resolve(rows, cat, "row", ["k"], rank)
+        assert get(out) == {i: [of_a, *rest][i % 4] for i in range(400)}
+        assert rows_made(out) < 5000
+    assert get(joins.resolve(rows.limit(1), cat, "row", ["k"], [F.col("level"), F.col("card_id")])) == {0: ("c000", "ok")}
