@@ -42,3 +42,13 @@ def test_resolve_among_many_alike_cards(spark):
         assert get(out) == {i: [of_a, *rest][i % 4] for i in range(400)}
         assert rows_made(out) < 5000
     assert get(joins.resolve(rows.limit(1), cat, "row", ["k"], [F.col("level"), F.col("card_id")])) == {0: ("c000", "ok")}
+
+
+def test_set_words_of_many_alike_cards(spark):
+    cards = [(i, "b", ["red", "fox"]) for i in range(300)] + [(300, "b", ["red"]), (301, "b", ["red", "fox", "cub"]), (302, "b", []), (303, None, ["red"]), (304, "c", ["", "x"])]
+    cat = spark.createDataFrame(cards, "card_id long, k string, set_words array<string>")
+    said = [("b", ["fox", "red", "small"], None, "ambiguous"), ("b", ["cub", "fox", "red"], 301, "assigned"), ("b", ["red"], 300, "assigned"), ("b", ["blue"], 302, "assigned"), ("c", ["x"], None, "no_card"), ("c", ["x", ""], 304, "assigned"), (None, ["red"], None, "missing_field"), ("b", None, None, "no_card")]
+    rows = [(i, *said[i % len(said)][:2]) for i in range(40 * len(said))]
+    out = linking.assign_by_set(spark.createDataFrame(rows, "row long, k string, words array<string>"), cat, "row", "words", ["k"])
+    assert {r.row: (r.card_id, r.status) for r in out.collect()} == {i: said[i % len(said)][2:] for i, _, _ in rows}
+    assert rows_made(out) < 5000
