@@ -9,12 +9,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cards, rules, scalars
-from . import joins
+from ..staging import small_or_merged
 
 #: Which record of a sale is believed first.
 SOURCE_ORDER = {"fanatics_api": 0, "neon": 1, "seed": 2}
 #: Fixed value: from this price on a person looks at a sale before it is loaded.
 REVIEW_FROM = 1_000_000
+#: Sales that are alike but for their key are held in lists of about so many keys.
+MAX_KEYS = 500
+#: Groups of more than MAX_KEYS sales are broadcast up to so many rows.
+MAX_BROADCAST_GROUPS = 100_000
 
 
 # --- one sale or two --------------------------------------------------------------------------------------------------
@@ -25,28 +29,52 @@ def title_words(title: Column) -> Column:
 
 def alike(title_a: Column, title_b: Column, players_a: Column, players_b: Column, least: float = 0.3) -> Column:
     """A shared player; if either side names none, titles that share enough of their words."""
+    return _agree(title_words(title_a), title_words(title_b), players_a, players_b, least)
+
+
+def _agree(words_a: Column, words_b: Column, players_a: Column, players_b: Column, least: float = 0.3) -> Column:
     known = (F.coalesce(F.size(players_a), F.lit(0)) > 0) & (F.coalesce(F.size(players_b), F.lit(0)) > 0)
-    return F.when(known, F.arrays_overlap(players_a, players_b)).otherwise(scalars.jaccard(title_words(title_a), title_words(title_b)) >= least)
+    return F.when(known, F.arrays_overlap(players_a, players_b)).otherwise(scalars.jaccard(words_a, words_b) >= least)
 
 
 def same_sales(rows: DataFrame, key: str, price: str, day: str, by_month: str, title: str, players: str, percent: float = 1.0, days: int = 3) -> DataFrame:
     """(a, b) with a < b that may be one sale: prices within ``percent`` of the larger one, days within ``days``, or the same month if either
     is only known by month (``by_month``), and :func:`alike`.
 
-    Both ways of meeting are equi-joins on a price bucket with the day's bucket or the month; the exact rules come last.
+    Both ways of meeting are equi-joins on a price bucket with the day's bucket or the month, with all rules in the join. Sales that are alike
+    but for their key meet as one group with a list of keys; pairs of keys are made last, in the tasks that return them, and are never shuffled.
     """
-    exact = joins.near_pairs(rows.filter(~F.col(by_month)), key, price, day, percent, days)
-    width = -math.log(1 - percent / 100)
-    p = F.col(price).cast("double")
-    base = rows.filter(p > 0).select(F.col(key).alias("k"), p.alias("p"), F.col(by_month).alias("m"), scalars.month_of(F.col(day)).alias("ym"), F.floor(F.log(p) / width).alias("pb"))
-    left = base.withColumn("pb", F.explode(F.array(*[F.col("pb") + i for i in (-1, 0, 1)])))
-    right = base.toDF("k2", "p2", "m2", "ym2", "pb2")
-    near = (F.col("m") | F.col("m2")) & (F.abs(F.col("p") - F.col("p2")) <= F.greatest("p", "p2") * (percent / 100))
-    monthly = left.join(right, (F.col("pb") == F.col("pb2")) & (F.col("ym") == F.col("ym2")) & (F.col("k") < F.col("k2"))).filter(near)
-    pairs = exact.unionByName(monthly.select(F.col("k").alias("a"), F.col("k2").alias("b")))
-    facts = rows.select(F.col(key).alias("k"), F.col(title).alias("t"), F.col(players).alias("ps"))
-    both = pairs.join(facts.toDF("a", "ta", "pa"), "a").join(facts.toDF("b", "tb", "pb"), "b")
-    return both.filter(alike(F.col("ta"), F.col("tb"), F.col("pa"), F.col("pb"))).select("a", "b")
+    width = -math.log(1 - percent / 100) * (1 + 1e-9)  # no rounding parts partners by two buckets
+    p, d = F.col(price).cast("double"), F.col(day).cast("date")
+    base = rows.filter(p > 0).select(F.col(key).alias("k"), p.alias("p"), d.alias("d"), scalars.month_of(F.col(day)).alias("ym"), F.col(by_month).alias("m"), title_words(F.col(title)).alias("w"), F.col(players).alias("ps"))
+    facts = ["p", "d", "ym", "m", "w", "ps"]
+    large = base.groupBy(*facts).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MAX_KEYS)
+    large = large.select(F.struct(*facts).alias("f"), F.ceil(F.col("n") / MAX_KEYS).alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("k"), F.col("parts")), F.lit(0))
+    base = base.join(small_or_merged(large, MAX_BROADCAST_GROUPS), F.struct(*facts) == F.col("f"), "left").withColumn("part", part)
+    g = base.groupBy(*facts, "part").agg(F.min("k").alias("k0"), F.collect_list("k").alias("ks"))
+    g = g.withColumns({"pb": F.floor(F.log("p") / width), "db": F.floor(F.unix_date("d") / (days + 1))})
+    held = [*facts, "part", "k0", "ks", "pb"]
+    every = F.struct(*facts, "part")  # tells groups of one first key apart
+    other = {c: f"{c}2" for c in (*held, "db")}
+    price_near = F.abs(F.col("p") - F.col("p2")) <= F.greatest("p", "p2") * (percent / 100)
+    meets = price_near & _agree(F.col("w"), F.col("w2"), F.col("ps"), F.col("ps2"))
+    same = (F.col("k0") == F.col("k02")) & every.eqNullSafe(F.struct(*[f"{c}2" for c in (*facts, "part")]))
+    once = (F.col("k0") < F.col("k02")) | ((F.col("k0") == F.col("k02")) & (every <= F.struct(*[f"{c}2" for c in (*facts, "part")])))
+
+    # Each two buckets meet once: in the next price bucket whatever the day's bucket, in one price bucket the next day's, in one bucket by first key.
+    by_day = g.filter(~F.col("m"))
+    to = [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]
+    dealt = by_day.withColumn("to", F.explode(F.array(*[F.struct((F.col("pb") + i).alias("pb"), (F.col("db") + j).alias("db"), F.lit((i, j) == (0, 0)).alias("own")) for i, j in to])))
+    right = by_day.withColumnsRenamed(other)
+    exact = dealt.join(right, (F.col("to.pb") == F.col("pb2")) & (F.col("to.db") == F.col("db2")) & (~F.col("to.own") | once) & (F.abs(F.datediff("d", "d2")) <= days) & meets)
+    # A sale known by month meets all of its month; two such sales meet once.
+    dealt = g.filter("m").withColumn("to", F.explode(F.array(*[F.col("pb") + i for i in (-1, 0, 1)])))
+    right = g.withColumnsRenamed(other)
+    monthly = dealt.join(right, (F.col("to") == F.col("pb2")) & (F.col("ym") == F.col("ym2")) & (~F.coalesce("m2", F.lit(False)) | once) & meets)
+    pairs = exact.select("ks", "ks2", same.alias("same")).unionByName(monthly.select("ks", "ks2", same.alias("same")))
+    pairs = pairs.select("same", "ks2", F.explode("ks").alias("x")).select("same", "x", F.explode("ks2").alias("y"))
+    return pairs.filter((F.col("x") < F.col("y")) | (~F.col("same") & (F.col("x") > F.col("y")))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def belief_order(source: Column, price: Column, order: dict[str, int] = SOURCE_ORDER) -> list[Column]:

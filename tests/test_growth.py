@@ -1,6 +1,9 @@
 """Work that follows the rows, not the square of a group of alike ones."""
 
-from lotweave.operators import joins, linking
+import datetime as dt
+import random
+
+from lotweave.operators import joins, linking, sales
 from pyspark.sql import functions as F
 
 
@@ -52,3 +55,27 @@ def test_set_words_of_many_alike_cards(spark):
     out = linking.assign_by_set(spark.createDataFrame(rows, "row long, k string, words array<string>"), cat, "row", "words", ["k"])
     assert {r.row: (r.card_id, r.status) for r in out.collect()} == {i: said[i % len(said)][2:] for i, _, _ in rows}
     assert rows_made(out) < 5000
+
+
+def test_same_sales_of_many_alike_ones(spark, monkeypatch):
+    monkeypatch.setattr(sales, "MAX_KEYS", 7)
+    pick, day = random.Random(3), dt.date(2024, 1, 25)
+    prices, titles, players = [100.0, 100.6, 99.0, 101.5, 0.0, None], ["ann lee rookie", "ann lee", "bo fox", None], [[], ["p"], ["p", "q"], None]
+    kinds = [(pick.choice(prices), pick.choice([day + dt.timedelta(i) for i in range(0, 12, 2)] + [None]), pick.choice([True, False, False, None]), pick.choice(titles), pick.choice(players)) for _ in range(40)]
+    rows = [(pick.randrange(400), *pick.choice(kinds)) for _ in range(150)] + [(1000 + i, 100.0, day, False, "ann lee", []) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, p double, d date, m boolean, t string, ps array<string>")
+    words = lambda t: {w for w in (t or "").split() if len(w) > 2}
+
+    def met(x, y):
+        (_, p, d, m, t, ps), (_, q, e, n, u, qs) = x, y
+        if not (p and q) or abs(p - q) > max(p, q) * 0.01 or d is None or e is None:
+            return False
+        near = (d.year, d.month) == (e.year, e.month) if m or n else None not in (m, n) and abs((d - e).days) <= 3
+        both = words(t) | words(u)
+        return near and (bool(set(ps) & set(qs)) if ps and qs else None not in (t, u) and len(words(t) & words(u)) / len(both) >= 0.3)
+
+    want = sorted((x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and met(x, y))
+    out = sales.same_sales(df, "k", "p", "d", "m", "t", "ps")
+    assert sorted(map(tuple, out.collect())) == want and len(want) > 2000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(a#") + plan.count("Exchange hashpartitioning(b#") == 0
