@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, scalars
+from ..staging import small_or_merged
 from .strict import names_in
 
 SLUG = r"^([a-z]+)-cards-([0-9]{4})(?:-[0-9]{2})?-([^/]+)/(.+)$"
@@ -21,6 +22,8 @@ FILLER = ["psa", "bgs", "sgc", "cgc", "gem", "mint", "mt", "rc", "rookie", "auto
 AUTOGRAPH = ["auto", "autograph", "autographed", "signature", "signatures"]
 #: Fixed value: share of a family set's further words that a title must have to be taken for that set.
 NAMED = 0.5
+#: Spellings of sets and prefixes of numbers are broadcast up to so many rows.
+MAX_BROADCAST_SETS = 100_000
 
 
 def parse_library(pages: DataFrame, slug: str = "slug") -> DataFrame:
@@ -67,19 +70,20 @@ def assign(rows: DataFrame, library: DataFrame, sets: DataFrame, parallels: Sequ
     never names without meaning them; ``tcg`` and ``coin`` are patterns of what the library doesn't hold.
     """
     raw = F.coalesce(F.col(title), F.lit(""))
-    t = rows.select(F.col(row_key).alias("rid"), F.lower(raw).alias("low"), scalars.name_key(raw).alias("t"))
+    # Nothing but the title counts, so each title is looked up once, under the first of its row keys.
+    t = rows.groupBy(raw.alias("raw")).agg(F.min(row_key).alias("rid")).select("rid", "raw", F.lower("raw").alias("low"), scalars.name_key(F.col("raw")).alias("t"))
     t = t.withColumn("words", F.filter(F.split("t", " "), lambda w: w != ""))
     year = scalars.match(F.col("low"), r"\b((?:19|20)[0-9]{2})\b")
     number = scalars.match(F.col("low"), r"#\s*([a-z0-9]+(?:-[a-z0-9]+)*)(?!\s*/\s*[0-9])\b")
     t = t.withColumns({"year": year, "number": number, "is_tcg": F.col("low").rlike(tcg), "is_coin": F.col("low").rlike(coin), "wants_auto": F.col("t").rlike(rules.any_word(AUTOGRAPH))})
     named = names_in(t, sets.select(scalars.name_key(F.col("name")).alias("cname")))
     longest = named.groupBy("rid").agg(F.max_by("cname", F.struct(F.length("cname"), "cname")).alias("set_name"))
-    t = t.join(longest, "rid", "left")
+    t = t.join(longest.hint("merge"), "rid", "left")
     own = sets.select(scalars.name_key(F.col("name")).alias("sn"), "set_slug").distinct()
 
     full = t.filter("NOT is_tcg AND NOT is_coin AND year IS NOT NULL AND number IS NOT NULL AND set_name IS NOT NULL")
-    of_title = full.join(own, F.col("set_name") == F.col("sn")).select("rid", "set_slug", F.lit(0).alias("by_prefix"))
-    of_number = full.join(prefixes, F.regexp_extract("number", "^([a-z]+)-", 1) == F.col("prefix")).select("rid", "set_slug", F.lit(1).alias("by_prefix"))
+    of_title = full.join(small_or_merged(own, MAX_BROADCAST_SETS), F.col("set_name") == F.col("sn")).select("rid", "set_slug", F.lit(0).alias("by_prefix"))
+    of_number = full.join(small_or_merged(prefixes, MAX_BROADCAST_SETS), F.regexp_extract("number", "^([a-z]+)-", 1) == F.col("prefix")).select("rid", "set_slug", F.lit(1).alias("by_prefix"))
     base = of_title.unionByName(of_number).groupBy("rid", "set_slug").agg(F.max("by_prefix").alias("by_prefix"))
     direct = base.select("rid", F.col("set_slug").alias("base"), "set_slug", F.when(F.col("by_prefix") == 1, 0.9).otherwise(1.0).alias("support"), "by_prefix")
     # Families: sets that begin or end with another set, found once for each pair of sets, through the first and the last word that both must share.
@@ -89,15 +93,16 @@ def assign(rows: DataFrame, library: DataFrame, sets: DataFrame, parallels: Sequ
     b, s = F.col("base"), F.col("set_slug")
     related = s.startswith(F.concat(b, F.lit("-"))) | b.startswith(F.concat(s, F.lit("-"))) | s.endswith(F.concat(F.lit("-"), b)) | b.endswith(F.concat(F.lit("-"), s))
     pairs = of_base.join(ends(known, "set_slug"), "end").filter((b != s) & related).select("base", "set_slug", F.array_except("w", "bw").alias("extra")).distinct()
-    of_row = base.select("rid", F.col("set_slug").alias("base")).join(t.select("rid", F.col("words").alias("tw")), "rid")
+    of_row = base.select("rid", F.col("set_slug").alias("base")).join(t.select("rid", F.col("words").alias("tw")).hint("merge"), "rid")
     support = F.size(F.array_intersect("extra", "tw")) / F.greatest(F.size("extra"), F.lit(1))
-    family = of_row.join(pairs, "base").select("rid", "base", "set_slug", support.alias("support"), F.lit(0).alias("by_prefix"))
+    family = of_row.join(pairs.hint("merge"), "base").select("rid", "base", "set_slug", support.alias("support"), F.lit(0).alias("by_prefix"))
     wanted = direct.unionByName(family).groupBy("rid", "set_slug").agg(F.max("support").alias("support"), F.max("by_prefix").alias("by_prefix"))
 
     keys = full.select("rid", F.explode(F.array(F.col("year"), (F.col("year").cast("int") - 1).cast("string"))).alias("y"), "year", "number", "words", "wants_auto", "set_name")
-    keys = keys.withColumn("key", F.explode(_number_forms(F.col("number")))).join(wanted, "rid")
-    lib = library.select("slug", F.col("year").alias("ly"), F.col("set_slug").alias("ls"), "product", "tokens", F.explode(F.array_distinct(_numbers(F.col("tokens")))).alias("lk"))
-    pool = keys.join(lib, (F.col("y") == F.col("ly")) & (F.col("set_slug") == F.col("ls")) & (F.col("key") == F.col("lk"))).dropDuplicates(["rid", "slug"])
+    keys = keys.withColumn("key", F.explode(_number_forms(F.col("number")))).join(wanted.hint("merge"), "rid")
+    # An address that is listed often is one page; listed once, it meets each title once.
+    lib = library.dropDuplicates(["slug"]).select("slug", F.col("year").alias("ly"), F.col("set_slug").alias("ls"), "product", "tokens", F.explode(F.array_distinct(_numbers(F.col("tokens")))).alias("lk"))
+    pool = keys.join(lib.hint("merge"), (F.col("y") == F.col("ly")) & (F.col("set_slug") == F.col("ls")) & (F.col("key") == F.col("lk"))).dropDuplicates(["rid", "slug"])
 
     # Player: leading tokens of the product, up to a number, or a parallel's word from the third on.
     par = F.array(*[F.lit(p) for p in parallels]).cast("array<string>")
@@ -133,7 +138,7 @@ def assign(rows: DataFrame, library: DataFrame, sets: DataFrame, parallels: Sequ
         F.size(F.collect_set(F.struct("y", "set_slug"))).alias("n_sets"), F.min(F.struct(F.length("product").alias("l"), "product", "slug")).alias("pick"),
         F.sort_array(F.collect_list(F.length("product"))).alias("lengths"), F.max("silent").alias("silent"), F.max("products").alias("products"),
     )
-    out = t.select("rid", "is_tcg", "is_coin", "year", "number", "set_name").join(per, "rid", "left").join(best, "rid", "left")
+    out = t.select("rid", "raw", "is_tcg", "is_coin", "year", "number", "set_name").join(per.hint("merge"), "rid", "left").join(best.hint("merge"), "rid", "left")
     tie = (F.size("lengths") > 1) & (F.col("lengths")[0] == F.try_element_at("lengths", F.lit(2)))
     status = rules.first_of([
         (F.col("is_tcg"), "non_sports_tcg"), (F.col("is_coin"), "coins"), (F.col("year").isNull() | F.col("number").isNull() | F.col("set_name").isNull(), "missing_field"),
@@ -142,4 +147,5 @@ def assign(rows: DataFrame, library: DataFrame, sets: DataFrame, parallels: Sequ
     ], "assigned")
     out = out.withColumn("status", status)
     sure = F.when(F.col("silent") & (F.col("products") > 1), "low").otherwise("high")
-    return out.select(F.col("rid").alias(row_key), "status", F.when(F.col("status") == "assigned", F.col("pick.slug")).alias("slug"), F.when(F.col("status") == "assigned", sure).alias("confidence"))
+    out = out.select("raw", "status", F.when(F.col("status") == "assigned", F.col("pick.slug")).alias("slug"), F.when(F.col("status") == "assigned", sure).alias("confidence"))
+    return rows.select(row_key, raw.alias("raw")).join(out.hint("merge"), "raw").select(row_key, "status", "slug", "confidence")

@@ -3,7 +3,7 @@
 import datetime as dt
 import random
 
-from lotweave.operators import joins, linking, sales
+from lotweave.operators import joins, library, linking, sales
 from pyspark.sql import functions as F
 
 
@@ -79,3 +79,16 @@ def test_same_sales_of_many_alike_ones(spark, monkeypatch):
     assert sorted(map(tuple, out.collect())) == want and len(want) > 2000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(a#") + plan.count("Exchange hashpartitioning(b#") == 0
+
+
+def test_library_of_many_alike_titles_and_addresses(spark):
+    slugs = [("baseball-cards-2020-topps/ann-lee-7",)] * 100 + [("baseball-cards-2020-topps/bo-fox-7",)]
+    lib = library.parse_library(spark.createDataFrame(slugs, "slug string"))
+    sets, none = spark.createDataFrame([("Topps", "topps")], "name string, set_slug string"), spark.createDataFrame([], "prefix string, set_slug string")
+    said = [("2020 Topps Lee #7", None), ("2020 Topps Leeann Fox", "missing_field"), (None, "missing_field"), ("2020 topps ann lee #7", "assigned"), ("2020 Topps Cy Dee #7", "player_mismatch"), ("2020 Topps Ann Lee #8", "no_library_card")]
+    rows = [(i, said[i % 6][0]) for i in range(600)]
+    out = library.assign(spark.createDataFrame(rows, "row_id int, title string"), lib, sets, [], [], none, "pokemon", "morgan dollar")
+    got = {r.row_id: (r.status, r.slug) for r in out.collect()}
+    assert len(got) == 600 and all(got[i] == got[i % 6] for i in got)
+    assert all(got[i][0] == status for i, (_, status) in enumerate(said) if status) and got[3][1] == slugs[0][0]
+    assert rows_made(out) < 2000
