@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, scalars
-from ..staging import small_or_merged
+from ..staging import small_or_merged, staged
 from .strict import names_in
 
 #: Groups of cards with equal keys and set words are broadcast up to so many rows.
@@ -88,7 +88,7 @@ def link_titles(rows: DataFrame, catalog: DataFrame, names: str = "character", r
     # A title without a number meets cards of any number: each card stands under its number and under "*", which is no number's key.
     numbered = cat.withColumn("key", F.explode(F.array(F.col("cnum"), F.lit("*")))).filter("key IS NOT NULL")
     titles = j.filter("n_names = 1").withColumn("key", F.when(F.col("num").isNull(), "*").otherwise(scalars.number_key(F.col("num"))))
-    hits = _best_sets(titles, numbered, "rid", "words", ["cname", "key"])
+    hits = _best_sets(titles, _card_groups(numbered, ["cname", "key", "set_words"]), "rid", "words", ["cname", "key"])
     out = j.join(hits.withColumnRenamed("__row", "rid").hint("merge"), "rid", "left")
     reason = rules.first_of([
         (F.col("many"), "not_single"), (F.col("n_names").isNull(), "character_unknown"), (F.col("n_names") > 1, "multiple_characters"),
@@ -98,37 +98,62 @@ def link_titles(rows: DataFrame, catalog: DataFrame, names: str = "character", r
     return out.select(F.col("rid").alias(row_key), F.when(F.col("reason") == "ok", F.col("__lo")).alias("card_id"), "reason")
 
 
-def _best_sets(rows: DataFrame, catalog: DataFrame, row_key: str, words: str, keys: Sequence[str]) -> DataFrame:
+def _card_groups(catalog: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cards alike in ``by`` as one group, held by its smallest and largest id, since more than one card is a tie however many there are."""
+    return catalog.groupBy(*by).agg(F.min("card_id").alias("__lo"), F.max("card_id").alias("__hi"))
+
+
+def _most_words(met: DataFrame, by: str) -> DataFrame:
+    """(by, __met, __lo, __hi): of the groups met, each with its number of set words as __met, those with most; their smallest and largest id."""
+    n, lo = F.col("__met"), F.col("__lo")
+    best = met.groupBy(by).agg(F.min(F.struct((-n).alias("n"), lo.isNull().alias("none"), lo.alias("id"))).alias("lo"), F.max(F.struct(n.alias("n"), F.col("__hi").alias("id"))).alias("hi"))
+    return best.select(by, F.col("hi.n").alias("__met"), F.col("lo.id").alias("__lo"), F.col("hi.id").alias("__hi"))
+
+
+def _best_sets(rows: DataFrame, groups: DataFrame, row_key: str, words: str, keys: Sequence[str]) -> DataFrame:
     """(__row, __met, __lo, __hi) of rows that meet a card: of cards with equal keys whose set words all occur in the row, those with most set words; their smallest and largest id.
 
-    Cards with equal keys and set words are one group, held by its smallest and largest id, since more than one card is a tie however many
-    there are. A row meets a group through the group's rarest set word, so not every group of its keys is held against it.
+    A row meets one of :func:`_card_groups` through the group's rarest set word, so not every group of its keys is held against it.
     """
     ks = [f"__k{i}" for i in range(len(keys))]
     named = [F.col(k).alias(n) for k, n in zip(keys, ks, strict=True)]
-    c = catalog.select(*named, "set_words", "card_id").groupBy(*ks, "set_words").agg(F.min("card_id").alias("__lo"), F.max("card_id").alias("__hi"))
-    each = c.select("set_words").distinct().select("set_words", F.explode(F.array_distinct("set_words")).alias("__w"))
+    groups = groups.select(*named, "set_words", "__lo", "__hi")
+    each = groups.select("set_words").distinct().select("set_words", F.explode(F.array_distinct("set_words")).alias("__w"))
     rare = each.join(each.groupBy("__w").agg(F.count(F.lit(1)).alias("__n")), "__w").groupBy("set_words").agg(F.min(F.struct("__n", "__w"))["__w"].alias("__w"))
     # Sets without words belong to every row: both stand under an empty word.
-    c = c.join(rare, "set_words", "left").withColumn("__w", F.coalesce("__w", F.lit("")))
+    c = groups.join(rare, "set_words", "left").withColumn("__w", F.coalesce("__w", F.lit("")))
     said = F.explode(F.array_distinct(F.concat(words, F.array(F.lit("")))))
     r = rows.select(F.col(row_key).alias("__row"), *named, F.col(words).alias("__words"), said.alias("__w"))
-    j = r.join(small_or_merged(c, MAX_BROADCAST_CARDS), [*ks, "__w"]).filter(F.size(F.array_except("set_words", "__words")) == 0)
-    n, lo = F.size("set_words"), F.col("__lo")
-    best = j.groupBy("__row").agg(F.min(F.struct((-n).alias("n"), lo.isNull().alias("none"), lo.alias("id"))).alias("lo"), F.max(F.struct(n.alias("n"), F.col("__hi").alias("id"))).alias("hi"))
-    return best.select("__row", F.lit(True).alias("__met"), F.col("lo.id").alias("__lo"), F.col("hi.id").alias("__hi"))
+    j = r.join(small_or_merged(c, MAX_BROADCAST_CARDS, groups), [*ks, "__w"]).filter(F.size(F.array_except("set_words", "__words")) == 0)
+    return _most_words(j.withColumn("__met", F.size("set_words")), "__row")
+
 
+def assign_by_set(rows: DataFrame, catalog: DataFrame, row_key: str, words: str | Column, keys: Sequence[str], set_words: str | Column = "set_words") -> DataFrame:
+    """(row key, card_id, reason): cards with equal keys whose set words all occur in the row; the one with most set words, ties refused.
 
-def assign_by_set(rows: DataFrame, catalog: DataFrame, row_key: str, words: str, keys: Sequence[str]) -> DataFrame:
-    """(row key, card_id, reason): cards with equal keys whose set words all occur in the row; the one with most set words, ties refused."""
-    best = _best_sets(rows, catalog, row_key, words, keys)
-    out = rows.select(row_key, *keys).join(best.hint("merge"), F.col(row_key) == F.col("__row"), "left")
+    ``words`` and ``set_words`` are columns or made of columns. Rows that differ in their row key alone are held against cards once, as are
+    cards that differ in card_id alone, so neither table should have further columns. Rows of one row key share their best card; a null one has none.
+    """
+    made = lambda c, name: (F.col(c) if isinstance(c, str) else c).alias(name)
+    groups = _card_groups(catalog, [c for c in catalog.columns if c != "card_id"])
+    groups = staged(groups.select(*keys, made(set_words, "set_words"), "__lo", "__hi"), "card_groups")
+    alike = [c for c in rows.columns if c != row_key]
+    kinds = rows.select(*alike).distinct().select(F.struct(*alike).alias("__kind"), *keys, made(words, "__words"))
+    hits = staged(_best_sets(kinds, groups, "__kind", "__words", keys).withColumnRenamed("__row", "__kind"), "set_hits")
+    hits, r = small_or_merged(hits, MAX_BROADCAST_CARDS), rows.withColumnRenamed(row_key, "__row")
+    same = F.col("__row").isNotNull()
+    for c in alike:
+        same = same & F.col(c).eqNullSafe(F.col(f"__kind.{c}"))
+    if r.filter("__row IS NOT NULL").groupBy("__row").count().filter("count > 1").isEmpty():
+        out = r.join(hits, same, "left")
+    else:
+        out = r.join(_most_words(r.join(hits, same), "__row").hint("merge"), "__row", "left")
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
     tie = F.col("__lo") != F.col("__hi")
     status = F.when(missing, "missing_field").when(F.col("__met").isNull(), "no_card").when(tie, "ambiguous").otherwise("assigned")
-    return out.select(row_key, F.when(~tie, F.col("__lo")).alias("card_id"), status.alias("status"))
+    return out.select(F.col("__row").alias(row_key), F.when(~tie, F.col("__lo")).alias("card_id"), status.alias("status"))
 
 
 def variant_matrix(cards: DataFrame, parallels: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -87,9 +87,13 @@ def small_enough(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def small_or_merged(df: DataFrame, max_rows: int) -> DataFrame:
-    """As :func:`small_enough`, but the shuffled join is a merge: else Spark may send either side to the driver whose files merely pack well."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")
+def small_or_merged(df: DataFrame, max_rows: int, counted: DataFrame | None = None) -> DataFrame:
+    """As :func:`small_enough`, but the shuffled join is a merge: else Spark may send either side to the driver whose files merely pack well.
+
+    ``counted`` is a table with as many rows that is cheaper to count.
+    """
+    few = (df if counted is None else counted).limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df.hint("merge")
 
 
 def fresh(taken: list[str], name: str) -> str:

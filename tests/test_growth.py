@@ -92,3 +92,34 @@ def test_library_of_many_alike_titles_and_addresses(spark):
     assert len(got) == 600 and all(got[i] == got[i % 6] for i in got)
     assert all(got[i][0] == status for i, (_, status) in enumerate(said) if status) and got[3][1] == slugs[0][0]
     assert rows_made(out) < 2000
+
+
+def test_set_words_of_many_alike_rows(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(linking, "staged", lambda df, name: (made.append(rows_made(df)), df)[1], raising=False)
+    cards = [(i, "b", [f"w{i}", f"w{i + 1}"]) for i in range(7)] + [(7, "b", ["w0", "w1", "w2"])]
+    cat = spark.createDataFrame(cards, "card_id long, k string, set_words array<string>")
+    said = [("b", [f"w{j}" for j in range(8)], 7, "assigned"), ("b", ["w5", "w6", "w7"], None, "ambiguous"), ("b", ["w6", "w7", "x"], 6, "assigned"), ("b", ["w6"], None, "no_card"), (None, ["w6", "w7"], None, "missing_field")]
+    rows = [(i, *said[i % len(said)][:2]) for i in range(2500)]
+    out = linking.assign_by_set(spark.createDataFrame(rows, "row long, k string, words array<string>"), cat, "row", "words", ["k"])
+    assert {r.row: (r.card_id, r.status) for r in out.collect()} == {i: said[i % len(said)][2:] for i, _, _ in rows}
+    assert max([*made, rows_made(out)]) <= 2500
+
+
+def test_set_words_of_repeated_and_null_row_keys(spark, monkeypatch):
+    cat = spark.createDataFrame([(1, "b", ["a"]), (2, "b", ["a", "c"]), (3, "d", ["e", "f"])], "card_id long, k string, set_words array<string>")
+    rows = spark.createDataFrame([(1, "b", ["a"]), (1, "b", ["a", "c"]), (2, "b", ["c", "a"]), (2, "d", ["e", "f"]), (3, None, ["a"]), (3, "b", ["a"]), (4, "b", None), (None, "b", ["a"])], "row long, k string, words array<string>")
+    want = [(None, None, "no_card"), (1, 2, "assigned"), (1, 2, "assigned"), (2, None, "ambiguous"), (2, None, "ambiguous"), (3, 1, "assigned"), (3, 1, "missing_field"), (4, None, "no_card")]
+    for most in (linking.MAX_BROADCAST_CARDS, 0):
+        monkeypatch.setattr(linking, "MAX_BROADCAST_CARDS", most)
+        out = linking.assign_by_set(rows, cat, "row", "words", ["k"])
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_set_word_match_of_null_names_and_types(spark, tmp_path):
+    from lotweave.plans import registry
+
+    rows = [(1, "red fox", "b", "small"), (2, None, "b", "red"), (3, "red", "b", "x"), (4, "old cup", "b", None)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    got = sorted(map(tuple, registry.queries()["set_word_match_all"](spark, str(tmp_path)).collect()))
+    assert got == [(1, 1, "assigned"), (2, None, "no_card"), (3, 3, "assigned"), (4, None, "no_card")]
