@@ -94,6 +94,18 @@ def test_library_of_many_alike_titles_and_addresses(spark):
     assert rows_made(out) < 2000
 
 
+def test_library_of_many_pages_of_one_year_set_and_number(spark):
+    said = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(150)]
+    slugs = [(f"baseball-cards-{y}-topps/{w}-lee-7",) for w in said for y in (2019, 2020)] + [("baseball-cards-2020-topps/bo-foxy-7",), ("football-cards-2020-topps/bo-foxy-7",)]
+    lib = library.parse_library(spark.createDataFrame(slugs, "slug string"))
+    sets, none = spark.createDataFrame([("Topps", "topps")], "name string, set_slug string"), spark.createDataFrame([], "prefix string, set_slug string")
+    titles = [f"2020 Topps {w} #7" for w in said] + ["2020 Topps Foxy #7", "2020 Topps Bo Lee #7", "2020 Topps Cy #7"]
+    out = library.assign(spark.createDataFrame(list(enumerate(titles)), "row_id int, title string"), lib, sets, [], [], none, "pokemon", "morgan dollar")
+    got = {r.row_id: (r.status, r.slug) for r in out.collect()}
+    assert got == {i: ("assigned", f"baseball-cards-2020-topps/{w}-lee-7") for i, w in enumerate(said)} | {150: ("ambiguous", None), 151: ("ambiguous", None), 152: ("player_mismatch", None)}
+    assert rows_made(out) < 2000
+
+
 def test_set_words_of_many_alike_rows(spark, monkeypatch):
     made = []
     monkeypatch.setattr(linking, "staged", lambda df, name: (made.append(rows_made(df)), df)[1], raising=False)
